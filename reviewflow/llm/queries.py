@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewflow.llm import formatcopies, lookalike
+from reviewflow.llm import formatcopies, lookalike, nearcopies
 from reviewflow.llm.oracle import ORACLES  # noqa: F401
 
 
@@ -13,6 +13,15 @@ def _read(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    found = nearcopies.near_pairs(_read(spark, d, "thread_comments"), "comment_id", "评论内容")
+    return found.withColumnsRenamed({"id_a": "comment_id_a", "id_b": "comment_id_b"})
+
+
+def p2_classes(spark: SparkSession, d: str) -> DataFrame:
+    return nearcopies.near_summary(_read(spark, d, "thread_comments"), "comment_id", "评论内容")
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     found = lookalike.same_look_pairs(_read(spark, d, "reviews"), "review_id", "评论内容")
     return found.withColumnsRenamed({"id_a": "review_id_a", "id_b": "review_id_b"})
@@ -30,4 +39,4 @@ def p5_collapsed(spark: SparkSession, d: str) -> DataFrame:
     return formatcopies.collapsed(_read(spark, d, "thread_comments"), "comment_id", "评论内容", "一级评论")
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p4_forms, p5_found, p5_collapsed)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_classes, p4_found, p4_forms, p5_found, p5_collapsed)}
