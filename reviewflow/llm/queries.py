@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewflow.llm import formatcopies, lookalike, nearcopies
+from reviewflow.llm import encoding, formatcopies, lookalike, nearcopies
 from reviewflow.llm.oracle import ORACLES  # noqa: F401
 
 
@@ -13,6 +13,15 @@ def _read(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def p1_repaired(spark: SparkSession, d: str) -> DataFrame:
+    """Every garbled field with the chain it went through and its restored text."""
+    return encoding.garbled_fields(_read(spark, d, "reviews"), "review_id", "platform", ["评论内容", "产品名"])
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return p1_repaired(spark, d).select("review_id", "field")
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     found = nearcopies.near_pairs(_read(spark, d, "thread_comments"), "comment_id", "评论内容")
     return found.withColumnsRenamed({"id_a": "comment_id_a", "id_b": "comment_id_b"})
@@ -39,4 +48,4 @@ def p5_collapsed(spark: SparkSession, d: str) -> DataFrame:
     return formatcopies.collapsed(_read(spark, d, "thread_comments"), "comment_id", "评论内容", "一级评论")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_classes, p4_found, p4_forms, p5_found, p5_collapsed)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_repaired, p2_found, p2_classes, p4_found, p4_forms, p5_found, p5_collapsed)}
