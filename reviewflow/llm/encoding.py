@@ -447,7 +447,9 @@ def _em(g: pd.DataFrame) -> pd.DataFrame:
         garbled = share[which] * evidence
         post = garbled / (garbled + 1 - share.sum())
         share = (np.bincount(which, weights=n * post, minlength=len(chains)) + prior) / (n.sum() + n_clean + PRIOR_ROWS)
-    return pd.DataFrame({"source": g["source"].iloc[0], "field": g["field"].iloc[0], "chain": chains, "share": share, "clean_share": 1 - share.sum()})
+    n, same = len(chains), lambda x: pd.Series([x] * len(chains), dtype=object)
+    named = {"source": same(g["source"].iloc[0] if g["source"].notna().any() else None), "field": same(g["field"].iloc[0]), "chain": pd.Series(chains, dtype=object)}
+    return pd.DataFrame({**named, "share": pd.Series(share, dtype=float), "clean_share": pd.Series([1 - share.sum()] * n, dtype=float)})
 
 
 def char_model(rows: DataFrame, fields: list[str]) -> CharModel:
