@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewflow.llm import encoding, formatcopies, lookalike, nearcopies
+from reviewflow.llm import encoding, formatcopies, lookalike, mixture, nearcopies, sentences, tokens
 from reviewflow.llm.oracle import ORACLES  # noqa: F401
 
 
@@ -48,4 +48,28 @@ def p5_collapsed(spark: SparkSession, d: str) -> DataFrame:
     return formatcopies.collapsed(_read(spark, d, "thread_comments"), "comment_id", "评论内容", "一级评论")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_repaired, p2_found, p2_classes, p4_found, p4_forms, p5_found, p5_collapsed)}
+def p8_ids(spark: SparkSession, d: str) -> DataFrame:
+    return tokens.token_ids(_read(spark, d, "documents"), "doc_id", "text")
+
+
+def p8_decoded(spark: SparkSession, d: str) -> DataFrame:
+    return tokens.decoded_texts(p8_ids(spark, d), "doc_id", "ids")
+
+
+def p9_mixture(spark: SparkSession, d: str) -> DataFrame:
+    return mixture.mixed_documents(_read(spark, d, "documents"), _read(spark, d, "mix_targets"))
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    return mixture.share_report(_read(spark, d, "documents"), _read(spark, d, "mix_targets"))
+
+
+def p10_sentences(spark: SparkSession, d: str) -> DataFrame:
+    return sentences.sentences(_read(spark, d, "documents"), "doc_id", "text")
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return p10_sentences(spark, d).select("doc_id", "start_pos")
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_repaired, p2_found, p2_classes, p4_found, p4_forms, p5_found, p5_collapsed, p8_ids, p8_decoded, p9_mixture, p9_shares, p10_found, p10_sentences)}
