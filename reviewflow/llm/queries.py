@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewflow.llm import encoding, formatcopies, lookalike, mixture, nearcopies, sentences, tokens
+from reviewflow.llm import encoding, formatcopies, lookalike, mixture, nearcopies, personal, sentences, tokens
 from reviewflow.llm.oracle import ORACLES  # noqa: F401
 
 
@@ -48,6 +48,14 @@ def p5_collapsed(spark: SparkSession, d: str) -> DataFrame:
     return formatcopies.collapsed(_read(spark, d, "thread_comments"), "comment_id", "评论内容", "一级评论")
 
 
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return personal.personal_kinds(_read(spark, d, "reviews"), "review_id", ["评论内容", "二级评论"])
+
+
+def p7_redacted(spark: SparkSession, d: str) -> DataFrame:
+    return personal.redacted_texts(_read(spark, d, "reviews"), "review_id", ["评论内容", "二级评论"])
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.token_ids(_read(spark, d, "documents"), "doc_id", "text")
 
@@ -72,4 +80,4 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return p10_sentences(spark, d).select("doc_id", "start_pos")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_repaired, p2_found, p2_classes, p4_found, p4_forms, p5_found, p5_collapsed, p8_ids, p8_decoded, p9_mixture, p9_shares, p10_found, p10_sentences)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_repaired, p2_found, p2_classes, p4_found, p4_forms, p5_found, p5_collapsed, p7_found, p7_redacted, p8_ids, p8_decoded, p9_mixture, p9_shares, p10_found, p10_sentences)}
