@@ -76,7 +76,7 @@ def event_log(rows: DataFrame, sheet: list[str], order: list[str], comment: str,
     number they have after the deletions. All ``delete_row`` events come first; sort by ``_event_order`` to write them."""
     marked = with_reasons(rows, sheet, order, comment, likes, clean_words)
     deleted = marked.where("_reason IS NOT NULL").select(
-        F.lit("delete_row").alias("action"), *sheet, F.col(row_number).cast("long").alias("row_number"), F.lit(comment).alias("column_header"),
+        F.lit("delete_row").alias("action"), *sheet, F.col(row_number).cast("long").alias("row_number"), F.lit("").alias("column_header"),
         F.col("_reason").alias("reason"), F.col(f"`{comment}`").alias("value"),
     )
     kept = marked.where("_reason IS NULL").withColumn("_new", F.row_number().over(W.partitionBy(*sheet).orderBy(*order)) + 1)

@@ -181,12 +181,13 @@ ORACLES = {
     "delete_length": f"{_BASE} SELECT comment_id, {_LENGTH} AS reason FROM b",
     "delete_placeholder": f"SELECT review_id FROM reviews WHERE {_strip('\"评论内容\"')} IN ({', '.join(map(_q, V.PLACEHOLDERS))})",
     "delete_clean_word": f"WITH {_TEXT} SELECT comment_id, {_CLEAN} AS reason FROM t WHERE {_CLEAN} IS NOT NULL",
-    "delete_fixed_terms": f"{_BASE}, f AS (SELECT comment_id, {_term_case()} AS term FROM b) SELECT * FROM f WHERE term IS NOT NULL",
+    "delete_fixed_terms": f"""WITH t AS (SELECT comment_id, coalesce({_strip('"评论内容"')}, '') || ' ' || list_extract([{', '.join(map(_q, (*V.TERMS_EXACT, *V.TERMS_ANY_CASE)))}], CAST(comment_id % {len(V.TERMS_EXACT) + len(V.TERMS_ANY_CASE)} AS INTEGER) + 1) AS c FROM thread_comments),
+ b AS (SELECT *, {_SCRIPT} AS script FROM t), f AS (SELECT comment_id, {_term_case()} AS term FROM b) SELECT * FROM f WHERE term IS NOT NULL""",
     "delete_random_alnum": f"WITH {_TEXT} SELECT comment_id FROM t WHERE {_RANDOM}",
     "delete_reason_first": f"{_BASE} SELECT comment_id, {_REASON} AS reason FROM b",
     "dedup_max_likes": f"{_MARKED} SELECT comment_id FROM m WHERE reason IS NULL",
     "dedup_events": f"""{_MARKED}, k AS (SELECT * REPLACE (row_number() OVER (PARTITION BY file_id, sheet ORDER BY row_number, comment_id) + 1 AS row_number) FROM m WHERE reason IS NULL), {_cells('k', 'row_number')}
- SELECT 'delete_row' AS action, file_id, sheet, row_number, '评论内容' AS column_header, reason, "评论内容" AS value FROM m WHERE reason IS NOT NULL
+ SELECT 'delete_row' AS action, file_id, sheet, row_number, '' AS column_header, reason, "评论内容" AS value FROM m WHERE reason IS NOT NULL
  UNION ALL SELECT 'clear_cell', file_id, sheet, row_number, h, reason, v FROM z WHERE reason IS NOT NULL""",
     "subcomment_clear": f"WITH {_cells('thread_comments', 'row_number, comment_id')} SELECT comment_id, h AS column_header, reason FROM z WHERE reason IS NOT NULL",
     "strip_urls": f"SELECT doc_id, CASE WHEN regexp_matches(text, 'https://[^{_S[1:-1]}]') THEN {_strip(f"regexp_replace(text, 'https://[^{_S[1:-1]}]+', '', 'g')")} ELSE text END AS stripped FROM documents",
