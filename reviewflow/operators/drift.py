@@ -4,7 +4,7 @@ Method: each record becomes path-value rows with the raw JSON type (``parse_json
 JVM); path-type statistics are aggregated by file; typed columns are projected by casts whose failures are counted.
 
 Defined results
-* a payload that is null or no JSON object counts as a record without fields; ``unreadable`` counts it in the cast report.
+* a payload that is null or no JSON object counts as a record without fields; it is a row of nulls in the table.
 * a header whose values in a file are all null has no type there, so it is never ``retyped``; of several types of one header
   in a file the most frequent holds, ties by name.
 * files of one feed with the same ``exported_at`` follow by file_id; files without any record take no part.
@@ -38,7 +38,7 @@ def path_values(records: DataFrame, keep: list[str]) -> DataFrame:
     """(keep..., header, value, json_type): one row for each key of each payload, with its raw type."""
     parsed = records.select(*keep, F.try_parse_json("payload").alias("_v"))
     spark = records.sparkSession
-    out = parsed.lateralJoin(spark.tvf.variant_explode(F.col("_v").outer()))
+    out = parsed.lateralJoin(spark.tvf.variant_explode_outer(F.col("_v").outer()))
     # F.schema_of_variant names SQL types; JSON knows one kind of number.
     sql_type = F.schema_of_variant("value")
     json_type = (

@@ -5,6 +5,7 @@ Terms are grouped by script once on the driver, so that a row tests only the ter
 
 from __future__ import annotations
 
+import json
 import re
 from functools import reduce
 
@@ -43,19 +44,21 @@ def _needle(term: str, group: str, any_case: bool) -> str:
 def fixed_term(c: Column) -> Column:
     """The first fixed term that a comment of the term's script (or a neutral term) contains, else null.
 
-    One pattern of all the group's terms, compiled once, lets nearly all comments go; only the rest looks for the first term.
+    A term's pattern is tried only where the comment contains the term at all.
     """
     group = script_group(c)
     terms = [(t, term_group(t), False) for t in V.TERMS_EXACT] + [(t, term_group(t), True) for t in V.TERMS_ANY_CASE]
 
     def first(own: str) -> Column:
         mine = [(t, g, i) for t, g, i in terms if g in (own, "neutral")]
-        any_of = "|".join(dict.fromkeys(re.escape(t) for t, _, _ in mine))
-        each = F.array(*(F.struct(F.lit(t).alias("t"), F.lit(_needle(t, g, i)).alias("x"), F.lit(g == "latin").alias("l"), F.lit(i).alias("i")) for t, g, i in mine))
-        has = lambda e: F.when(e["l"], F.rlike(c, e["x"])).otherwise(F.contains(F.when(e["i"], fold(c)).otherwise(c), e["x"]))
-        # Folding may lengthen a character that the pattern's case rule doesn't know, so folded text is tried too.
-        near = c.rlike(f"(?iu){any_of}") | fold(c).rlike(f"(?iu){any_of}")
-        return F.when(near, F.get(F.filter(each, has), 0)["t"])
+        # The terms are one constant for the planner, however many they are.
+        table = [{"t": t, "x": t.casefold() if i else t, "p": _needle(t, g, i) if g == "latin" else None, "i": i} for t, g, i in mine]
+        each = F.from_json(F.lit(json.dumps(table, ensure_ascii=False)), "array<struct<t:string,x:string,p:string,i:boolean>>")
+        # The text and its folded form are bound once; inside the filter they would be made again for every term.
+        # Only a term that the text contains has its pattern tried.
+        has = lambda s, e: F.contains(F.when(e["i"], s["f"]).otherwise(s["c"]), e["x"]) & (e["p"].isNull() | F.rlike(s["c"], e["p"]))
+        bound = F.transform(F.array(F.struct(c.alias("c"), fold(c).alias("f"))), lambda s: F.get(F.filter(each, lambda e: has(s, e)), 0)["t"])
+        return F.get(bound, 0)
 
     return reduce(lambda e, g: e.when(group == g, first(g)), GROUPS[1:-1], F.when(group == "latin", first("latin"))).otherwise(first("neutral"))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,7 +57,7 @@ def delete_clean_word(spark: SparkSession, d: str) -> DataFrame:
 def delete_fixed_terms(spark: SparkSession, d: str) -> DataFrame:
     """Every comment with one of the terms after it, chosen by its number, so that every term meets every script."""
     terms = (*rules.V.TERMS_EXACT, *rules.V.TERMS_ANY_CASE)
-    term = F.element_at(F.array(*map(F.lit, terms)), (F.col("comment_id") % len(terms) + 1).cast("int"))
+    term = F.element_at(F.from_json(F.lit(json.dumps(terms, ensure_ascii=False)), "array<string>"), (F.col("comment_id") % len(terms) + 1).cast("int"))
     t = _threads(spark, d).select("comment_id", F.concat(_comment(), F.lit(" "), term).alias("c"))
     return t.select("comment_id", rules.fixed_term(F.col("c")).alias("term")).where("term IS NOT NULL")
 

@@ -79,7 +79,14 @@ _RANDOM = f"""(NOT {_has('c', '[\\x{4e00}-\\x{9fff}]')} AND len(list_filter(rege
 _REASON = f"""coalesce({_LENGTH}, CASE WHEN c IN ({', '.join(map(_q, V.PLACEHOLDERS))}) THEN '评论等于占位文案' END, {_CLEAN},
  '评论包含固定删除词: ' || ({_term_case()}), CASE WHEN {_RANDOM} THEN '评论为无中文随机英文/数字堆砌' END)"""
 _REASON_PLAIN = _REASON.replace(f" {_CLEAN},", "")
-_LIKES = f"""coalesce(CASE WHEN regexp_matches({_digits(_strip('"点赞数"'))}, '^[+-]?[0-9]+(\\.[0-9]+)?$') THEN try_cast({_digits(_strip('"点赞数"'))} AS DECIMAL(38,6)) END, 0)"""
+
+
+def _rank(c: str) -> str:
+    t = _digits(_strip(c))
+    return f"""coalesce(CASE WHEN regexp_matches({t}, '^[+-]?[0-9]+(\\.[0-9]+)?$') THEN try_cast({t} AS DECIMAL(38,6)) END, 0)"""
+
+
+_LIKES = _rank('"点赞数"')
 _DUP = "同一工作表内重复评论（保留点赞数最高，点赞相同保留最后一条）"
 _MARKED = f"""{_BASE}, r AS (SELECT *, {_REASON_PLAIN} AS rule, {_LIKES} AS likes FROM b),
  m AS (SELECT *, coalesce(rule, CASE WHEN row_number() OVER (PARTITION BY file_id, sheet, c, rule IS NULL ORDER BY likes DESC, row_number DESC, comment_id DESC) > 1 THEN '{_DUP}' END) AS reason FROM r)"""
@@ -237,7 +244,7 @@ ORACLES = {
     "duplicate_summary": f"""WITH g AS (SELECT count(*) AS n FROM thread_comments WHERE {_nonblank('"评论内容"')} IS NOT NULL GROUP BY {_nonblank('"评论内容"')} HAVING count(*) > 1)
  SELECT coalesce(sum(n - 1), 0)::BIGINT AS duplicate_rows, count(*) AS duplicate_groups FROM g""",
     "row_hash": "SELECT n_nationkey, substr(sha256(to_json([n_name, CAST(n_regionkey AS VARCHAR)])::VARCHAR), 1, 12) AS row_hash FROM nation",
-    "end_to_end_clean": f"""{_MARKED.replace('WITH ', 'WITH ', 1)}, k AS (SELECT * FROM m WHERE reason IS NULL), {_cells('k', 'row_number, comment_id')}, {_STD},
+    "end_to_end_clean": f"""{_MARKED.replace(_LIKES + ' AS likes', _rank('(' + _likes_text('"点赞数"') + ')') + ' AS likes')}, k AS (SELECT * FROM m WHERE reason IS NULL), {_cells('k', 'row_number, comment_id')}, {_STD},
  gone AS (SELECT comment_id, h FROM z WHERE reason IS NOT NULL)
  SELECT s.comment_id, s.day, s."评论内容" AS comment, s.likes, {', '.join(f'CASE WHEN NOT EXISTS (SELECT 1 FROM gone g WHERE g.comment_id = s.comment_id AND g.h = {_q(c)}) THEN s."{c}" END AS sub{i + 1}' for i, c in enumerate(('一级评论', '二级评论', '三级评论')))}
  FROM std s WHERE s.comment_id IN (SELECT comment_id FROM k)""",
