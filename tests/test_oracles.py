@@ -6,6 +6,7 @@ from pathlib import Path
 
 import pytest
 
+from reviewflow import core_queries
 from reviewflow.plans import catalog
 
 duckdb = pytest.importorskip("duckdb")
@@ -24,10 +25,13 @@ def plain(rows, columns):
     return sorted(tuple(str(r[i]) for i in order) for r in rows)
 
 
-@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
+QUERIES, ORACLES = catalog.QUERIES | core_queries.QUERIES, catalog.ORACLES | core_queries.ORACLES
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query(spark, tiny, sql, name):
-    df = catalog.QUERIES[name](spark, tiny)
-    found = sql.execute(catalog.ORACLES[name])
+    df = QUERIES[name](spark, tiny)
+    found = sql.execute(ORACLES[name])
     columns = [d[0] for d in found.description]
     assert sorted(df.columns) == sorted(columns)
     assert plain([tuple(r) for r in df.collect()], df.columns) == plain(found.fetchall(), columns)
