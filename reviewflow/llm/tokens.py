@@ -67,11 +67,12 @@ class Vocabulary:
         self.whole = {b: i for b, i in self.ids.items() if i in merged or len(b) == 1}
         #: The sufficient lookahead: the longest token in bytes.
         self.lookahead = max(map(len, self.whole))
-        # For the search of tokens that end at a position: the lengths that occur, by last byte.
-        lengths: dict[int, set[int]] = {}
+        # For the search of tokens that end at a position: the lengths that occur, by the last two bytes.
+        lengths: dict[bytes, set[int]] = {}
         for b in self.whole:
-            lengths.setdefault(b[-1], set()).add(len(b))
-        self.lengths = {k: sorted(v, reverse=True) for k, v in lengths.items()}
+            if len(b) > 1:
+                lengths.setdefault(b[-2:], set()).add(len(b))
+        self.lengths = {k: (*sorted(v, reverse=True), 1) for k, v in lengths.items()}
         self._fits: dict[tuple[int, int], bool] = {}
 
     def fits(self, a: int, b: int) -> bool:
@@ -122,23 +123,27 @@ class Transducer:
             if len(self.tail) > keep:
                 del self.tail[0]
             self.at += 1
-            self.last.append(self._ending(byte))
+            self.last.append(self._ending())
             if len(self.last) > 2 * keep:
                 yield from self._stable()
 
-    def _ending(self, byte: int) -> tuple[int, int]:
-        v, tail = self.v, self.tail
-        n_tail, held = len(tail), len(self.last)
-        for n in v.lengths[byte]:
-            if n > n_tail or n > self.at - self.done:
+    def _ending(self) -> tuple[int, int]:
+        v, tail, last = self.v, self.tail, self.last
+        n_tail, held, open_ = len(tail), len(last), self.at - self.done
+        whole, known = v.whole, v._fits
+        for n in v.lengths.get(bytes(tail[-2:]), (1,)):
+            if n > open_ or n > n_tail:
                 continue
-            token = v.whole.get(bytes(tail[n_tail - n :]))
+            token = whole.get(bytes(tail[n_tail - n :]))
             if token is None:
                 continue
-            if n == self.at - self.done:
-                if self.done == 0 or v.fits(self.before, token):
-                    return token, n
-            elif v.fits(self.last[held - n][0], token):
+            if n == open_ and self.done == 0:
+                return token, n
+            before = self.before if n == open_ else last[held - n][0]
+            fits = known.get((before, token))
+            if fits is None:
+                fits = v.fits(before, token)
+            if fits:
                 return token, n
         raise AssertionError("every byte is a token")  # pragma: no cover
 
