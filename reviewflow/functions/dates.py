@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from reviewflow.functions.numbers import narrow_digits
-from reviewflow.functions.text import SPACE, pystrip
+from reviewflow.functions.text import SPACE, bound, pystrip
 
 ZONE = "Asia/Shanghai"
 #: Date headers whose date-only values stay as they are.
@@ -33,34 +34,42 @@ def _count(raw: Column) -> Column:
 
 def unix_date(c: Column) -> Column:
     """A count of seconds or milliseconds since 1970 as a Beijing date, else null."""
-    t = pystrip(c)
-    x = F.when(t.rlike(r"^[+-]?[0-9]+(\.[0-9]+)?$"), t.try_cast("decimal(38,6)"))
-    seconds = F.when(F.abs(x) >= 10_000_000_000, x / 1000).otherwise(x)
-    known = F.abs(seconds) < 250_000_000_000
-    at = F.timestamp_seconds(F.when(known, seconds.cast("double")))
-    return F.date_format(F.from_utc_timestamp(at, ZONE), "yyyy-MM-dd")
+    return bound(pystrip(c), _unix)
+
+
+def _unix(t: Column) -> Column:
+    def of(x: Column) -> Column:
+        seconds = F.when(F.abs(x) >= 10_000_000_000, x / 1000).otherwise(x)
+        return F.when(F.abs(seconds) < 250_000_000_000, F.date_format(F.from_utc_timestamp(F.timestamp_seconds(seconds.cast("double")), ZONE), "yyyy-MM-dd"))
+
+    return F.when(t.rlike(r"^[+-]?[0-9]+(\.[0-9]+)?$"), bound(t.try_cast("decimal(38,6)"), of))
 
 
 def relative_date(c: Column, ref: date) -> Column:
     """Relative phrases of days, weeks, months and years against ``ref``, else null."""
-    n = F.regexp_replace(pystrip(c), f"{SPACE}+", " ")
-    day = F.lit(ref)
-    word = F.lower(n)
+    return bound(F.regexp_replace(pystrip(c), f"{SPACE}+", " "), lambda n: _relative(n, ref))
 
-    def count(unit: str) -> Column:
-        return _count(F.regexp_extract(n, rf"(?i)^([0-9０-９]+|[一二两三四五六七八九十]+) *(?:{unit})$", 1))
 
-    years, months = count("年 *前|years? +ago|yrs? +ago"), count("[个個]?月 *前|months? +ago|mos? +ago")
-    weeks, days = count("周 *前|星期 *前|weeks? +ago|wks? +ago"), count("天 *前|日 *前|days? +ago")
+def _relative(n: Column, ref: date) -> Column:
+    day = F.lit(ref)
     iso = lambda d: F.date_format(d, "yyyy-MM-dd")
+    form = r"(?i)^([0-9０-９]+|[一二两三四五六七八九十]+) *(?:%s)$"
+
+    def ago(unit: str, f: Callable[[Column], Column]) -> Column:
+        raw = F.regexp_extract(n, form % unit, 1)
+        return F.when(n.rlike(form % unit), bound(_count(raw), f))
+
+    phrase = F.coalesce(
+        ago("年 *前|years? +ago|yrs? +ago", lambda k: F.lpad((F.lit(ref.year) - k).cast("string"), 4, "0")),
+        ago("[个個]?月 *前|months? +ago|mos? +ago", lambda k: F.date_format(F.add_months(day, -k), "yyyy-MM")),
+        ago("周 *前|星期 *前|weeks? +ago|wks? +ago", lambda k: iso(F.date_sub(day, k * 7))),
+        ago("天 *前|日 *前|days? +ago", lambda k: iso(F.date_sub(day, k))),
+    )
     return (
-        F.when(n.isin("今天", "今日") | (word == "today"), iso(day))
-        .when((n == "昨天") | (word == "yesterday"), iso(F.date_sub(day, 1)))
+        F.when(n.isin("今天", "今日") | (F.lower(n) == "today"), iso(day))
+        .when((n == "昨天") | (F.lower(n) == "yesterday"), iso(F.date_sub(day, 1)))
         .when(n == "前天", iso(F.date_sub(day, 2)))
-        .when(years.isNotNull(), F.lpad((F.lit(ref.year) - years).cast("string"), 4, "0"))
-        .when(months.isNotNull(), F.date_format(F.add_months(day, -months), "yyyy-MM"))
-        .when(weeks.isNotNull(), iso(F.date_sub(day, weeks * 7)))
-        .when(days.isNotNull(), iso(F.date_sub(day, days)))
+        .when(n.rlike("(?i)(?:前|ago)$"), phrase)
     )
 
 
@@ -85,16 +94,22 @@ def _iso_date(c: Column) -> Column:
 
 def platform_date(c: Column, ref: date) -> Column:
     """The Beijing date of a date text in any platform's form; texts in none of them stay, blank becomes null."""
-    t = pystrip(c)
-    n = F.regexp_replace(t, rf"(?i)(?:{SPACE}+\(edited\)|{SPACE}*（修改过）){SPACE}*$", "")
-    compact = F.coalesce(_calendar(t, "^([0-9]{4})([0-9]{2})([0-9]{2})$"), c)
     patterns = (
         rf"^([0-9]{{4}})-([0-9]{{1,2}})-([0-9]{{1,2}})(?: +{_CLOCK})?$",
         rf"^([0-9]{{4}})/([0-9]{{1,2}})/([0-9]{{1,2}})(?: +{_CLOCK})?$",
         r"^([0-9]{4})年([0-9]{1,2})月([0-9]{1,2})日$",
     )
-    rest = F.coalesce(unix_date(c), F.when(t == "", None).otherwise(F.coalesce(relative_date(n, ref), _iso_date(n), *(_calendar(n, p) for p in patterns), c)))
-    return F.when(t.rlike("^[0-9]{8}$"), compact).otherwise(rest)
+    edited = rf"(?i)(?:{SPACE}+\(edited\)|{SPACE}*（修改过）){SPACE}*$"
+
+    def of(x: Column) -> Column:
+        c, t, n = x["c"], x["t"], x["n"]
+        written = F.when(n.rlike("^[0-9]{4}[-/年]"), F.coalesce(_iso_date(n), *(_calendar(n, p) for p in patterns)))
+        compact = F.coalesce(_calendar(t, "^([0-9]{4})([0-9]{2})([0-9]{2})$"), c)
+        rest = F.coalesce(_unix(t), relative_date(n, ref), written, c)
+        return F.when(t == "", None).when(t.rlike("^[0-9]{8}$"), compact).otherwise(rest)
+
+    stripped = bound(pystrip(c), lambda t: F.struct(c.alias("c"), t.alias("t"), F.regexp_replace(t, edited, "").alias("n")))
+    return F.when(c.isNotNull(), bound(stripped, of))
 
 
 def is_datetime_text(c: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,6 +16,11 @@ LATIN_LETTER = r"[A-Za-zÀ-ÖØ-öø-ÿĀ-ž]"
 FOLDS = (("ß", "ss"), ("ſ", "s"), ("µ", "μ"), ("ς", "σ"), ("ŉ", "ʼn"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬀ", "ff"))
 
 
+def bound(c: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is computed once for a row, however often f uses it; plain nesting would compute it for every use."""
+    return F.get(F.transform(F.array(c), f), 0)
+
+
 def pystrip(c: Column) -> Column:
     """Without white space at both ends."""
     return F.regexp_replace(c, f"^{SPACE}+|{SPACE}+$", "")
