@@ -57,7 +57,7 @@ _LETTERWISE = {
     "cp1250": ("cp1252",),
 }
 #: What a letter costs right after a letter of another alphabet, unless the two look alike.
-SWITCH = -8.0
+SWITCH = -11.0
 #: A character less likely than this after its predecessor asks for a closer look.
 UNLIKELY = -8.5
 
@@ -108,7 +108,20 @@ _WORD = re.compile(r"\w*[^\W\d_a-zA-Z]\w*|[^\x00-\x7f\w]+")
 #: Letterwise chains to Cyrillic make whole words, never single letters in words of another script.
 _CYRILLIC = re.compile("[\u0400-\u045f]{3,}")
 #: Bare signs of garbling; rows that have one stay out of the character model.
-_SIGNS = re.compile("[\x80-\x84\x86-\x9f�-]|[Â-ôВГД][\x80-¿€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ]|[¡-ÿ]{3}|[ｦ-ﾟ][一-鿿]|[縺繧繝]")
+_SIGNS = re.compile("[\x80-\x84\x86-\x9f�-]|[Â-ôВГД][\x80-¿€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ]|[¡-ÿ]{3}|[ｦ-ﾟ][一-鿿]|[縺繧繝]|[A-Za-zÀ-ÿ][\u0370-\u04ff]|[\u0370-\u04ff][A-Za-zÀ-ÿ]")
+
+
+
+@lru_cache(maxsize=1)
+def _disguised() -> re.Pattern:
+    """UTF-8 read as a single-byte code page: a sequence of three bytes, or one of two in code pages other than Latin ones."""
+    out = []
+    for w in ("cp1252", "cp1251", "mac_roman", "cp437", "koi8_r"):
+        k = _class(w, 0x80, 0xBF)
+        out.append(f"{_class(w, 0xE0, 0xEF)}{k}{k}|{_class(w, 0xC3, 0xC3)}{k}")
+    return re.compile("|".join(out))
+
+
 _LOST = re.compile("[�-\x80-\x84\x86-\x9f─-╿]")
 
 
@@ -132,7 +145,7 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     chars, cells = np.zeros(SIZE, dtype=np.int64), np.zeros(CELLS, dtype=np.int64)
     for b in batches:
         for col in b.columns:
-            texts = [t for t in col.to_pylist() if t and (t.isascii() or not _SIGNS.search(t))]
+            texts = [t for t in col.to_pylist() if t and (t.isascii() or not (_SIGNS.search(t) or _disguised().search(t)))]
             if texts:
                 points, offsets = flat(texts)
                 chars += np.bincount(points, minlength=SIZE)
@@ -331,13 +344,19 @@ def _pieces(t: _Text, chain: str, runs: re.Pattern, undo, done: list | None = No
             lost.append(x[1])
     if not spans:
         return 0.0, chain, text
-    joined = "\n".join(got)
+    # Each candidate is scored where it stands: after the character before it, and with the one that follows.
+    joined = "\n".join(g + text[z : z + 1] for g, (_, z) in zip(got, spans, strict=True))
     p = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    score = np.concatenate([[0.0], np.cumsum(t.model.scores(p, np.concatenate([[np.uint32(10)], p[:-1]])))])
+    before, place = np.concatenate([[np.uint32(10)], p[:-1]]), 0
+    for (a, z), g in zip(spans, got, strict=True):
+        before[place] = ord(text[a - 1]) if a else 10
+        place += len(g) + len(text[z : z + 1]) + 1
+    score = np.concatenate([[0.0], np.cumsum(t.model.scores(p, before))])
     gain, at, out, place = 0.0, 0, [], 0
     for (a, z), s, n in zip(spans, got, lost, strict=True):
-        better = float(score[place + len(s)] - score[place]) - 7.0 * n - (t.cost[z] - t.cost[a])
-        place += len(s) + 1
+        size = len(s) + len(text[z : z + 1])
+        better = float(score[place + size] - score[place]) - 7.0 * n - (t.cost[min(z + 1, len(text))] - t.cost[a])
+        place += size + 1
         if better > 1.0:
             gain += better
             out += [text[at:a], s]
