@@ -1,7 +1,6 @@
 """Keeping the best of equal comments, clearing repeated subcomments, and the event log of both.
 
-Rows are identified by (sheet columns, row column); hot comments are split by hash partitioning on (sheet, comment) and need
-no group in memory, as only a maximum or a rank is taken.
+Rows are identified by (sheet columns, order columns). A hot comment costs each task one row, as only its maximum travels.
 """
 
 from __future__ import annotations
@@ -24,15 +23,21 @@ def stripped_comment(c: Column) -> Column:
 
 
 def with_reasons(rows: DataFrame, sheet: list[str], order: list[str], comment: str, likes: str | None, clean_words: list[str] | None = None) -> DataFrame:
-    """``_reason`` of every row: a rule's reason, or that an equal comment of its sheet is kept instead."""
-    text = stripped_comment(F.col(f"`{comment}`"))
-    ranked = rows.withColumn("_text", text).withColumn("_rule", deletion_reason(F.col("_text"), clean_words))
+    """``_reason`` of every row: a rule's reason, or that an equal comment of its sheet is kept instead.
+
+    ``order`` is unique within a sheet. The best of a comment is a maximum, so tasks reduce a comment to one row each before
+    anything is shuffled, however many rows have it; what travels is a 128-bit digest, not the text. Joined back, a hot comment
+    meets a single row, so its own rows can be split. Equal comments share their rule, so the maximum needs none.
+    """
     rank = likes_for_ranking(F.col(f"`{likes}`")) if likes else F.lit(0)
-    # Deleted rows share no partition with kept ones, and never outrank them.
-    w = W.partitionBy(*sheet, "_text", F.col("_rule").isNull()).orderBy(F.desc("_likes"), *(F.desc(o) for o in order))
-    first = F.row_number().over(w) == 1
-    reason = F.coalesce("_rule", F.when(~first, F.lit(DUPLICATE)))
-    return ranked.withColumn("_likes", rank).withColumn("_reason", reason).drop("_text", "_rule", "_likes")
+    marked = rows.withColumn("_text", stripped_comment(F.col(f"`{comment}`")))
+    marked = marked.withColumns({"_k1": F.xxhash64("_text"), "_k2": F.xxhash64("_text", F.lit(1)), "_own": F.struct(rank.alias("_likes"), *order)})
+    key = [*sheet, "_k1", "_k2"]
+    best = marked.groupBy(*key).agg(F.max("_own").alias("_best")).withColumnsRenamed({k: f"_b{i}" for i, k in enumerate(key)})
+    same = [F.col(k).eqNullSafe(F.col(f"_b{i}")) if k in sheet else F.col(k) == F.col(f"_b{i}") for i, k in enumerate(key)]
+    reason = F.coalesce(deletion_reason(F.col("_text"), clean_words), F.when(~F.col("_own").eqNullSafe(F.col("_best")), F.lit(DUPLICATE)))
+    out = marked.join(best, same, "left").withColumn("_reason", reason)
+    return out.drop("_text", "_k1", "_k2", "_own", "_best", *(f"_b{i}" for i in range(len(key))))
 
 
 def best_rows(rows: DataFrame, sheet: list[str], order: list[str], comment: str, likes: str | None) -> DataFrame:
