@@ -16,6 +16,8 @@ over tasks of their own. Equal texts meet as one set, so a text held by a third
 Defined results
 * null, blank and shorter texts (fewer than ``least`` letters) have no links.
 * rows with equal gram sets are one class; ``near_pairs`` does not list pairs of one class (their similarity is 1).
+* ``near_groups`` has one row for each row: groups are the connected components of the links, so two rows of a group may be less
+  similar than the threshold; a row without enough letters, or without link and equal, is a group of its own.
 * an empty table gives no rows; whole texts are used; other columns are not read.
 """
 
@@ -418,3 +420,36 @@ def near_summary(rows: DataFrame, row_id: str, text: str, threshold: float = 0.6
     classes = members.groupBy("k").agg(F.min("id").alias("class_id")).join(n, "k", "left")
     out = members.join(classes, "k").select(F.col("id").alias(row_id), "class_id", F.coalesce("n", F.lit(0)).alias("n_links"))
     return out
+
+
+def _components(links: DataFrame) -> DataFrame:
+    """(k, c): the smallest member c of the connected component of each k in ``links`` (a, b), but for c itself.
+
+    Large-star and small-star rounds, each written: every vertex hands its neighbours to its least one until only stars are left.
+    """
+    edges = written(links.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("m")).where("v != m").distinct(), "near-stars")
+    while True:
+        both = edges.unionByName(edges.select(F.col("m").alias("v"), F.col("v").alias("m")))
+        least = both.groupBy("v").agg(F.least("v", F.min("m")).alias("c"))
+        large = both.join(least, "v").where("m > v").select(F.col("m").alias("v"), F.col("c").alias("m"))
+        large = written(large.distinct(), "near-stars")
+        least = large.groupBy("v").agg(F.min("m").alias("c"))
+        small = large.join(least, "v").where("m != c").select(F.col("m").alias("v"), F.col("c").alias("m"))
+        edges = written(small.unionByName(least.select("v", F.col("c").alias("m"))).distinct(), "near-stars")
+        centres = edges.select(F.col("m").alias("v")).distinct()
+        loose = edges.groupBy("v").count().where("count > 1").select("v").unionByName(edges.select("v").join(centres, "v", "left_semi"))
+        if loose.isEmpty():
+            return edges.select(F.col("v").alias("k"), F.col("m").alias("c"))
+
+
+def near_groups(rows: DataFrame, row_id: str, text: str, threshold: float = 0.6, least: int = 60) -> DataFrame:
+    """(row_id, class_id, n_links) of every row: its group of linked and equal rows, named by its smallest row, and how many other
+    sets of grams its own is linked to."""
+    members, links = near_classes(rows, row_id, text, threshold, least)
+    n = links.select(F.explode(F.array("a", "b")).alias("k")).groupBy("k").agg(F.count("*").alias("n_links"))
+    sets = members.groupBy("k").agg(F.min("id").alias("first")).join(_components(links), "k", "left").join(n, "k", "left")
+    sets = written(sets.select("k", "first", F.coalesce("c", "k").alias("c"), "n_links"), "near-sets")
+    classes = sets.join(sets.groupBy("c").agg(F.min("first").alias("class_id")), "c").select("k", "class_id", "n_links")
+    found = members.join(classes, "k").select("id", "class_id", "n_links")
+    every = rows.select(F.col(f"`{row_id}`").cast("long").alias("id")).join(found, "id", "left")
+    return every.select(F.col("id").alias(row_id), F.coalesce("class_id", "id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))

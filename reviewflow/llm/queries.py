@@ -28,7 +28,7 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p2_classes(spark: SparkSession, d: str) -> DataFrame:
-    return nearcopies.near_summary(_read(spark, d, "thread_comments"), "comment_id", "评论内容")
+    return nearcopies.near_groups(_read(spark, d, "thread_comments"), "comment_id", "评论内容")
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:

@@ -49,6 +49,38 @@ def test_near_pairs_equal_brute_force(spark, texts):
     assert summary[1004].class_id == summary[1].class_id == 1 and 1003 not in summary
 
 
+def test_near_groups_are_components_over_all_rows(spark, texts):
+    df = spark.createDataFrame(texts, "id long, text string")
+    parent = {i: i for i, _ in texts}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    def join(x, y):
+        x, y = sorted((root(x), root(y)))
+        parent[y] = x
+
+    sets = {}
+    for i, t in texts:
+        if len(f := fold(t)) >= 60:
+            join(i, sets.setdefault(frozenset(f[k : k + 3] for k in range(len(f) - 2)), i))
+    for x, y in brute_pairs(texts):
+        join(x, y)
+    got = {r.id: r for r in nearcopies.near_groups(df, "id", "text").collect()}
+    assert {i: r.class_id for i, r in got.items()} == {i: root(i) for i, _ in texts}
+    assert got[1].class_id == got[2].class_id and got[2].n_links > 0 and got[1003].class_id == 1003 and got[1001].n_links == 0
+    assert nearcopies.near_groups(df.limit(0), "id", "text").count() == 0
+
+
+def test_components_of_a_long_chain(spark):
+    order = random.Random(3).sample(range(200), 200)
+    chain = [(order[i], order[i + 1]) for i in range(199)] + [(900, 901), (901, 900)]
+    got = dict(tuple(r) for r in nearcopies._components(spark.createDataFrame(chain, "a long, b long")).collect())
+    assert got == {i: 0 for i in range(1, 200)} | {901: 900}
+
+
 def test_large_buckets_are_split_without_loss(spark, texts, monkeypatch):
     monkeypatch.setattr(nearcopies, "SPLIT", 2)
     df = spark.createDataFrame(texts, "id long, text string")
