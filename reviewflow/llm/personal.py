@@ -8,8 +8,9 @@ by its best patterns. Patterns of high confidence then discover identifiers that
 
 An instance of a number is its shape (digits masked), as numbers hardly repeat; an instance of a name is the name.
 
-Bounds (documented parameters): patterns are learnt from at most ``MAX_NAMES`` names, those seen most often, and at most
-``MAX_PATTERNS`` patterns, those with most support, are kept; both go to the workers. Extraction reads every text whole.
+Patterns are learnt from all seed names. Names stay in Spark: the workers get a filter of names and of their beginnings, of at most
+``MOST_BITS`` bits, and what passes it is joined with the whole table of names. Patterns are kept by support and confidence only and
+go to the workers. Extraction reads every text whole.
 
 Defined results
 * null gives null and no finding; empty texts and texts without any entity stay as they are.
@@ -21,22 +22,28 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from datetime import date
 from functools import lru_cache
+from itertools import accumulate
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reviewflow.llm.text import mix
 from reviewflow.storage import ship_package, written
 
 KINDS = ("email", "phone", "id_number", "address", "name")
-MAX_NAMES = 20_000
-MAX_PATTERNS = 20_000
+#: Bits of the filter for each of its entries, and bits at most; a fuller filter lets more through, which the join removes.
+ENTRY_BITS, MOST_BITS = 16, 1 << 27
+#: Characters that are looked up in the filter at once.
+CHUNK = 1 << 18
 #: A pattern needs so many distinct instances, and so much confidence to extract.
 SUPPORT, SURE, SURE_AFTER = 2, 0.6, 0.8
 ROUNDS = 4
@@ -323,21 +330,94 @@ def _automaton(words: list[str]) -> ahocorasick.Automaton:
     return a
 
 
+_U = np.uint64
+_STEP, _WHOLE = _U(0x9E3779B97F4A7C15), _U(0xD6E8FEB86659FD93)
+
+
+def _places(h: np.ndarray, bits: int) -> np.ndarray:
+    return mix(h) & _U(bits - 1)
+
+
+def _points(s: str) -> np.ndarray:
+    return np.frombuffer(s.encode("utf-32-le"), dtype=np.uint32)
+
+
+def _filter_batches(bits: int):
+    """One filter for each task: a bit for every beginning of every name, and one for every whole name."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = np.zeros(bits, dtype=bool)
+        for b in batches:
+            for name in b.column(0).to_pylist():
+                h = np.zeros(1, dtype=_U)
+                for c in _points(name):
+                    h = mix(h * _STEP + _U(c))
+                    out[_places(h, bits)] = True
+                out[_places(h ^ _WHOLE, bits)] = True
+        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(out, bitorder="little").tobytes()], pa.binary())], names=["filter"])
+
+    return run
+
+
+def _name_filter(names: DataFrame) -> tuple[bytes, int]:
+    """The filter of all names (instance), and the length of the longest."""
+    size = names.agg(F.sum(F.length("instance") + 1).alias("n"), F.max(F.length("instance")).alias("longest")).first()
+    bits = min(MOST_BITS, 1 << max(16, (ENTRY_BITS * (size.n or 0) - 1).bit_length()))
+    out = np.zeros(bits // 8, dtype=np.uint8)
+    for r in names.select("instance").mapInArrow(_filter_batches(bits), "filter binary").toLocalIterator():
+        out |= np.frombuffer(r["filter"], dtype=np.uint8)
+    return out.tobytes(), size.longest or 0
+
+
+def _filtered_spans(s: str, bitmap: np.ndarray, longest: int) -> Iterator[tuple[int, int]]:
+    """All spans that the filter lets through, among them every occurrence of every name."""
+    points = _points(s)
+    at, h = np.arange(len(points)), np.zeros(len(points), dtype=_U)
+
+    def passed(x: np.ndarray) -> np.ndarray:
+        i = _places(x, 8 * len(bitmap))
+        return bitmap[i >> _U(3)] >> (i & _U(7)).astype(np.uint8) & 1 == 1
+
+    for size in range(1, longest + 1):
+        room = at + size <= len(points)
+        at, h = at[room], h[room]
+        h = mix(h * _STEP + points[at + size - 1].astype(_U))
+        live = passed(h)
+        at, h = at[live], h[live]
+        if not len(at):
+            break
+        for a in at[passed(h ^ _WHOLE)].tolist():
+            yield a, a + size
+
+
 def _context_batches(names: Broadcast, n_fields: int):
-    """Contexts of all occurrences of the known names."""
+    """Contexts of all spans that may be known names; those that are none go in the join with the names."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edges: Counter = Counter()
-        machine = _automaton(names.value)
-        if names.value:
-            for b in batches:
-                for col in b.columns[:n_fields]:
-                    for t in col.to_pylist():
-                        if t:
-                            s, _ = plain(t)
-                            for end, w in machine.iter(s):
-                                for p in contexts(s, end + 1 - len(w), end + 1):
-                                    edges["name", p, w, "name"] += 1
+        bitmap, longest = np.frombuffer(names.value[0], dtype=np.uint8), names.value[1]
+
+        def add(texts: list[str]) -> None:
+            starts = list(accumulate((len(s) + 1 for s in texts), initial=0))
+            for a, z in _filtered_spans("\0".join(texts), bitmap, longest):
+                i = bisect_right(starts, a) - 1
+                s, a, z = texts[i], a - starts[i], z - starts[i]
+                if z <= len(s):
+                    for p in contexts(s, a, z):
+                        edges["name", p, s[a:z], "name"] += 1
+
+        texts, size = [], 0
+        for b in batches:
+            for col in b.columns[:n_fields]:
+                for t in col.to_pylist():
+                    if t:
+                        texts.append(plain(t)[0])
+                        size += len(texts[-1])
+                        if size >= CHUNK:
+                            add(texts)
+                            texts, size = [], 0
+        if texts:
+            add(texts)
         yield from _counted(edges)
 
     return run
@@ -418,22 +498,22 @@ def _number_patterns(edges: DataFrame) -> DataFrame:
 
 
 def learnt_patterns(rows: DataFrame, fields: list[str]) -> dict[str, dict[str, float]]:
-    """Confident patterns by kind; what comes to the driver is bounded by MAX_PATTERNS."""
+    """Confident patterns by kind; only patterns and the filter come to the driver."""
     spark = rows.sparkSession
     texts = rows.select(*(F.col(f"`{f}`") for f in fields))
     first = written(texts.mapInArrow(_edge_batches(len(fields)), _EDGES), "pii-seeds")
-    names = first.where("kind = 'name'").groupBy("instance").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "instance").limit(MAX_NAMES)
-    known = spark.sparkContext.broadcast([r.instance for r in names.select("instance").collect()])
-    seen = written(texts.mapInArrow(_context_batches(known, len(fields)), _EDGES), "pii-contexts")
-    support = seen.groupBy("pattern").agg(F.count_distinct("instance").alias("k"), F.sum("n").alias("n")).where(f"k >= {SUPPORT}")
-    candidates = [r.pattern for r in support.orderBy(F.desc("k"), "pattern").limit(MAX_PATTERNS).select("pattern").collect()]
+    names = written(first.where("kind = 'name'").select("instance").distinct(), "pii-names")
+    known = spark.sparkContext.broadcast(_name_filter(names))
+    seen = written(texts.mapInArrow(_context_batches(known, len(fields)), _EDGES).join(names, "instance", "left_semi"), "pii-contexts")
+    support = seen.groupBy("pattern").agg(F.count_distinct("instance").alias("k")).where(f"k >= {SUPPORT}")
+    candidates = [r.pattern for r in support.orderBy(F.desc("k"), "pattern").select("pattern").collect()]
     met = texts.mapInArrow(_match_batches(spark.sparkContext.broadcast(candidates), len(fields)), _EDGES)
     name_edges = met.unionByName(seen.select("kind", "pattern", "instance", F.lit("name").alias("seed"), F.lit(0).cast("long").alias("n")))
     # What follows a number is often the next finding; such patterns must be surer and show more shapes.
     numbers = _number_patterns(first).where(f"pattern LIKE 'L%' OR confidence >= {SURE_AFTER} AND support > {SUPPORT}")
     scored = score_graph(name_edges).unionByName(numbers).where(f"confidence >= {SURE} AND support >= {SUPPORT}")
     out: dict[str, dict[str, float]] = {"phone": {}, "id_number": {}, "name": {}}
-    for r in scored.orderBy(F.desc("support"), "pattern").limit(MAX_PATTERNS).collect():
+    for r in scored.collect():
         out[r.kind][r.pattern] = r.confidence
     return out
 

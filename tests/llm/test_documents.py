@@ -155,3 +155,25 @@ def test_patterns_discover_what_no_seed_knows(spark):
     out = {r.id: r.a for r in personal.redacted_texts(df, "id", ["a"]).collect()}
     assert out[12] == "开票写<NAME>，好的。" and out[18] == "call me on <PHONE>. fine"
     assert personal.personal_kinds(df.limit(0), "id", ["a"]).count() == 0
+
+
+def test_patterns_are_learnt_from_all_names(spark):
+    letters = "abcdefghijklmnopqrst"
+    many = [f"Q{a}{b}{c} W{d}e" for a in letters for b in letters for c in letters for d in letters[:3]]
+    rows = [f"ask Mr. {n}." for n in many for _ in (0, 1)]
+    assert len(set(many)) > 20_000
+    rows += [f"请转告{n}女士。" for n in ("简听雪", "柏念安", "裴云舟")] + [f"开票写{n}，谢谢。" for n in ("简听雪", "柏念安", "裴云舟")] + ["开票写沈语棠，好的。"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "id long, a string")
+    assert "L开票写" in personal.learnt_patterns(df, ["a"])["name"]
+    assert {(r.id, r.kind) for r in personal.personal_kinds(df, "id", ["a"]).collect()} >= {(len(rows) - 1, "name")}
+
+
+def test_the_name_filter_misses_no_occurrence(spark):
+    rng = random.Random(4)
+    names = ["".join(rng.choice("AB 李听") for _ in range(rng.randrange(2, 7))) for _ in range(40)]
+    bitmap, longest = personal._name_filter(spark.createDataFrame([(n,) for n in names], "instance string"))
+    s = "".join(rng.choice("AB 李听\0") for _ in range(3000))
+    got = set(personal._filtered_spans(s, personal.np.frombuffer(bitmap, "uint8"), longest))
+    want = {(i, i + len(n)) for n in names for i in range(len(s)) if s.startswith(n, i)}
+    assert want <= got and {(a, z) for a, z in got if s[a:z] in names} == want
+    assert personal._name_filter(spark.createDataFrame([], "instance string"))[1] == 0
