@@ -1,8 +1,8 @@
 """Sentence boundaries across languages and scripts -> sentence units of every text.
 
 Method. Gaps are the places where a sentence could end. Scripts without spaces between words are segmented by a dictionary
-word lattice (cheapest path over known words and unknown characters), and a gap there is classified by the word before it
-(final particle, or a word that can't end) and the word after it (opening word, or a word that can't open). Scripts with
+word lattice (cheapest path over known words and unknown characters), and a space there is a gap, classified by the word before
+it (final particle, or a word that can't end) and the word after it (opening word, or a word that can't open). Scripts with
 spaces are treated by a terminator lattice: each full stop has the readings end, abbreviation, number, name part and ellipsis,
 each with a cost from its neighbours, and the cheapest path through all readings gives the boundaries. Quotations and
 brackets are paired first; no gap inside a pair is a boundary. Line breaks are boundaries unless the text is wrapped there.
@@ -75,6 +75,9 @@ _FACE = re.compile(r"(?<=\s)[:;=][-']?[)(DPpO3]+(?=\s)")
 _WIDE = re.compile("[⺀-鿿豈-﫿\U00020000-\U0003ffff]")
 _HANGUL = re.compile("[가-힯ᄀ-ᇿ]")
 _SPACELESS = {"thai": "฀-໿", "japanese": "぀-ヿ一-鿿", "chinese": "一-鿿"}
+_ZH_JA = "ぁ-ゖァ-ヺー々㐀-䶿一-鿿"
+_SPACES = re.compile(f"(?<=[฀-໿]) +(?=\\S)|(?<=[{_ZH_JA}])[ \t\u00a0\u3000]+(?=[{_ZH_JA}])")
+_RUN_BEFORE, _RUN_AFTER = re.compile("[㐀-䶿一-鿿]{4}$"), re.compile("[㐀-䶿一-鿿]{4}")
 _MONTH = re.compile(r"(?:jan|feb|m[äa]r|apr|ma[iy]|jun|jul|aug|se[pt]|okt|oct|nov|de[zc])", re.I)
 _TOKEN = re.compile(r"[^\s(（「『“\"«„]*$")
 
@@ -140,6 +143,16 @@ def _word_after(text: str, at: int, script: str) -> str:
     return word_lattice(m.group(), script)[0] if m else ""
 
 
+def _space_costs(text: str, at: int, after: int, script: str) -> tuple[float, float]:
+    """(cost of a boundary, cost of none) at a space in a script without spaces between words: particle and opener add up, either
+    decides alone. Chinese has no such space within a sentence, so two longer runs are parted without either word."""
+    before, behind = _word_before(text, at, script), _word_after(text, after, script)
+    final, opener = before in FINALS[script].split(), behind in OPENERS[script].split()
+    against = not final and before in NOT_LAST[script].split() or not opener and behind in NOT_FIRST[script].split()
+    bare = script == "chinese" and not final and not opener and bool(_RUN_BEFORE.search(text, max(0, at - 4), at) and _RUN_AFTER.match(text, after))
+    return max(0.0, 3.0 - 2.5 * final - 2.0 * (opener or bare) + 1.25 * against), 1.0 + (final or opener or bare)
+
+
 # ---- pairs -----------------------------------------------------------------------------------------------------------
 
 
@@ -316,11 +329,10 @@ def boundaries(text: str) -> list[int]:
     for m in re.finditer(r"[^\S\n]*\n\s*", text):
         if m.start() and m.end() < len(text) and m.start() not in gaps:
             gaps[m.start()] = (0.0, 5.0) if _breaks_here(text, m.start(), m.end(), wrapped, width) else (5.0, 0.0)
-    for m in re.finditer("(?<=[฀-໿]) +(?=\\S)", text):
+    for m in _SPACES.finditer(text):
         if m.start() not in gaps:
-            final = _word_before(text, m.start(), "thai") in FINALS["thai"].split()
-            opener = _word_after(text, m.end(), "thai") in OPENERS["thai"].split()
-            gaps[m.start()] = (0.5 if final else 3.0 - opener, 2.0 if final else 1.0)
+            script = _script_at(text[m.start() - 1], text[max(0, m.start() - 40) : m.end() + 40])
+            gaps[m.start()] = _space_costs(text, m.start(), m.end(), script)
     return _cheapest(text, gaps, inner)
 
 

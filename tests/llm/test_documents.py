@@ -108,6 +108,20 @@ def test_sentences(text, expected):
     assert [text[a:z].rstrip() for a, z in zip(s, [*s[1:], None], strict=True)] == expected
 
 
+SPACED = [
+    ("ใช้ดีมาก แต่ราคาแพง", ["ใช้ดีมาก", "แต่ราคาแพง"]), ("ราคา 34.50 บาท คุ้มมาก", ["ราคา 34.50 บาท คุ้มมาก"]),
+    ("物流很快 包装完好", ["物流很快", "包装完好"]), ("用了三天了 好", ["用了三天了", "好"]), ("好看 但是重", ["好看", "但是重"]), ("我很喜欢和 朋友一起用", ["我很喜欢和 朋友一起用"]), ("联系简 听雪女士来取", ["联系简 听雪女士来取"]),
+    ("梱包は丁寧でした　音も静か", ["梱包は丁寧でした", "音も静か"]), ("音が大きい でも安い", ["音が大きい", "でも安い"]), ("雨宮 遥菜様宛てに届きました", ["雨宮 遥菜様宛てに届きました"]),
+    ("他说：“很好用了 但是贵”。", ["他说：“很好用了 但是贵”。"]),
+]
+
+
+@pytest.mark.parametrize(("text", "expected"), SPACED)
+def test_spaces_in_scripts_without_spaces(text, expected):
+    s = sentences.sentence_starts(text)
+    assert [text[a:z].rstrip() for a, z in zip(s, [*s[1:], None], strict=True)] == expected
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.text(alphabet="ab A.!?。…\n\"“”（）《 1了です", max_size=60))
 def test_sentences_of_any_text(s):
