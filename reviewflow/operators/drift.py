@@ -10,6 +10,8 @@ Defined results
 * files of one feed with the same ``exported_at`` follow by file_id; files without any record take no part.
 * the missing side of ``added`` and ``removed`` is the empty string.
 * several gone and new headers of one output field are paired in the order of their names; the rest are removed or added.
+* values that stand for no output field of the table are kept by their header in ``rest``: a map from header to the value's text and JSON
+  type, nulls with type null; null for a record without any. In the cast report such headers have no field and no failures.
 * records delivered twice (same file and row number) are one row of the table, the earliest received; ties by record_id.
 * empty tables give empty results.
 """
@@ -134,19 +136,28 @@ def _typed(c: Column, kind: str) -> Column:
 
 
 def consistent_table(records: DataFrame, files: DataFrame, standardizer: DataFrame, platforms: DataFrame) -> DataFrame:
-    """One row for each record with the typed output fields; several headers of one field are joined in header order."""
+    """One row for each record with the typed output fields; several headers of one field are joined in header order.
+
+    ``rest`` keeps every other header's value and JSON type.
+    """
     m = _mapped_values(records, files, standardizer, platforms)
     parts = lambda f: F.array_sort(F.collect_list(F.when((F.col("field") == f) & F.col("text").isNotNull(), F.struct("header", "text"))))
     # A record's fields are few, so the collected list is bounded by the width of one record.
     text = lambda f: F.nullif(F.concat_ws("\n\n", F.transform(parts(f), lambda x: x["text"])), F.lit(""))
-    return m.groupBy("file_id", "row_no", "record_id").agg(*(_typed(text(f), k).alias(f) for f, k in TABLE_TYPES.items()))
+    left_over = F.col("header").isNotNull() & ~F.coalesce(F.col("field").isin(*TABLE_TYPES), F.lit(False))
+    entries = F.array_sort(F.collect_list(F.when(left_over, F.struct("header", F.struct(F.col("text").alias("value"), "json_type")))))
+    rest = F.when(F.size(entries) > 0, F.map_from_entries(entries)).alias("rest")
+    return m.groupBy("file_id", "row_no", "record_id").agg(*(_typed(text(f), k).alias(f) for f, k in TABLE_TYPES.items()), rest)
 
 
 def cast_report(records: DataFrame, files: DataFrame, standardizer: DataFrame, platforms: DataFrame) -> DataFrame:
-    """(file_id, header, field, json_type, n_values, n_failed): casts to the consistent table's types, by file and header."""
-    m = _mapped_values(records, files, standardizer, platforms).where("field IS NOT NULL AND text IS NOT NULL")
+    """(file_id, header, field, json_type, n_values, n_failed): casts to the consistent table's types, by file and header.
+
+    ``field`` is null for a header without output field; its values are kept as they are in ``rest``.
+    """
+    m = _mapped_values(records, files, standardizer, platforms).where("text IS NOT NULL")
     failed = F.lit(False)
     for f, k in TABLE_TYPES.items():
         if k != "string":
-            failed = failed | ((F.col("field") == f) & _typed(F.col("text"), k).isNull())
+            failed = failed | (F.col("field").eqNullSafe(f) & _typed(F.col("text"), k).isNull())
     return m.groupBy("file_id", "header", "field", "json_type").agg(F.count("*").alias("n_values"), F.sum(failed.cast("long")).alias("n_failed"))

@@ -54,6 +54,16 @@ def test_table_and_report(inputs):
     assert failed[2, "score"] == 1 and failed[2, "likes"] == 0 and failed[3, "likes"] == 1
 
 
+def test_values_without_output_field_are_kept(inputs):
+    args = inputs([*RECORDS, (11, 4, 3, '{"b": null, "c": [1, {"d": 2}], "likes": "9", "": false}', T), (12, 99, 1, '{"lost": "x"}', T)], FILES)
+    rows = {(r.file_id, r.row_no): r.rest and {h: tuple(v) for h, v in r.rest.items()} for r in drift.consistent_table(*args).collect()}
+    assert rows[1, 2] == {"extra": ("true", "boolean")} and rows[1, 3] is None and rows[3, 4] is None
+    assert rows[5, 2] == {"星": ("3", "number")} and rows[99, 1] == {"lost": ("x", "string")}
+    assert rows[4, 3] == {"b": (None, None), "c": ('[1,{"d":2}]', "array"), "": ("false", "boolean")}
+    report = {(r.file_id, r.header): (r.field, r.n_values, r.n_failed) for r in drift.cast_report(*args).collect()}
+    assert report[1, "extra"] == (None, 1, 0) and report[5, "星"] == (None, 1, 0) and report[2, "score"][2] == 1
+
+
 def test_empty(inputs, spark):
     records, files, std, plat = inputs(RECORDS, FILES)
     for f in (drift.schema_changes, drift.consistent_table, drift.cast_report):
