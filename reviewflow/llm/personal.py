@@ -138,6 +138,9 @@ _ROAD_WORDS = frozenset(
     "calle avda avenida plaza paseo carrer camino c/ straße weg platz allee rue place quai allée chemin impasse cours route "
     "ул улица пр-т проспект пер переулок наб".split()
 )
+_WORD = re.compile(r"\w+")
+# Those that an address may have without a word's edge before or after them.
+_ROAD_STEMS = "Calle Avda Avenida Plaza Paseo Carrer Camino C/ ул. улица пр-т проспект пер. переулок наб.".split()
 _ROAD_END = re.compile(r"(?:stra(?:ß|ss)e|str\.|weg|platz|gasse|allee|ufer|damm|ring) \d")
 _ADDRESSES = re.compile(
     "|".join(
@@ -161,7 +164,7 @@ def address_spans(s: str) -> Iterator[tuple[int, int]]:
                 a = start + before.start()
                 cue = _ROAD_CUE.match(s[a : m.start()])
                 yield (a + cue.end() if cue and a + cue.end() < m.start() else a), m.end()
-    if not _ROAD_WORDS.isdisjoint(s.lower().replace(",", " ").replace(".", " ").split()) or _ROAD_END.search(s):
+    if not _ROAD_WORDS.isdisjoint(_WORD.findall(s.lower())) or _ROAD_END.search(s) or any(x in s for x in _ROAD_STEMS):
         for m in _ADDRESSES.finditer(s):
             yield m.span()
 
@@ -530,7 +533,7 @@ class Finder:
         if not text:
             return []
         s, places = plain(text)
-        found = [(m.start(), m.end(), "email") for m in _EMAIL.finditer(s)] if "@" in s or "at" in s else []
+        found = [(m.start(), m.end(), "email") for m in _EMAIL.finditer(s)] if "@" in s or "at" in s.lower() else []
         if re.search(r"\d", s):
             found += [(a, z, "address") for a, z in address_spans(s)]
             if _ENOUGH.search(s):

@@ -151,6 +151,17 @@ def test_seeds(text, kinds):
     assert {k for _, _, k in personal.Finder({}).find(text)} == kinds
 
 
+GUARDED = [
+    ("(42 Oak Street)", "address"), ("42 Oak Street!", "address"), ("at 42 Oak Road; thanks", "address"), ("(C/ Mayor 5)", "address"), ("«пр-т Мира 5»", "address"), ("улицаМира 5", "address"),
+    ("P.O. Box 210", "address"), ("“12 rue du Lac”", "address"), ("(Neue Straße 5)", "address"), ("JO(AT)X.COM", "email"), ("jo[At]x.com", "email"),
+]
+
+
+@pytest.mark.parametrize(("text", "kind"), GUARDED)
+def test_prefilters_let_through_what_the_patterns_match(text, kind):
+    assert kind in {k for _, _, k in personal.Finder({}).find(text)}
+
+
 def test_redaction_keeps_the_rest():
     f = personal.Finder({})
     assert f.redacted("手机号：１３９－００００－２０７０，谢谢") == "手机号：<PHONE>，谢谢"
