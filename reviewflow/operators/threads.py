@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewflow.storage import written
+from reviewflow.storage import shared_dir, written
 
 
 class UnmatchedError(ValueError):
@@ -19,7 +21,7 @@ def joined_by_id(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return checked.withColumn("_r", sure).where("_r IS NOT NULL").drop("_r")
 
 
-def flattened(nodes: DataFrame, node: str, parent: str, max_rounds: int = 64) -> DataFrame:
+def flattened(nodes: DataFrame, node: str, parent: str) -> DataFrame:
     """(node, parent, root, level, is_reply, path) in pre-order by path: level by level joins, as many as the tree is deep.
 
     Each level is written before the next, so lineage stays short. A node whose parent is absent is a root; nodes on a cycle
@@ -29,14 +31,15 @@ def flattened(nodes: DataFrame, node: str, parent: str, max_rounds: int = 64) ->
     known = n.select(F.col("node").alias("parent"))
     padded = lambda c: F.lpad(F.col(c).cast("string"), 20, "0")
     roots = n.join(known, "parent", "left_anti")
-    level = written(roots.select("node", "parent", F.col("node").alias("root"), F.lit(0).alias("level"), padded("node").alias("path")), "thread-level")
-    done = level
-    for depth in range(1, max_rounds):
+    base = f"{shared_dir(nodes.sparkSession)}/thread-levels-{uuid.uuid4().hex}"
+    paths = [f"{base}/0"]
+    level = written(roots.select("node", "parent", F.col("node").alias("root"), F.lit(0).alias("level"), padded("node").alias("path")), "thread-level", paths[0])
+    while not level.isEmpty():
+        depth = len(paths)
         up = level.select(F.col("node").alias("parent"), "root", F.col("path").alias("up"))
-        level = written(n.join(up, "parent").select("node", "parent", "root", F.lit(depth).alias("level"), F.concat_ws("/", "up", padded("node")).alias("path")), "thread-level")
-        if level.isEmpty():
-            break
-        done = done.unionByName(level)
+        paths.append(f"{base}/{depth}")
+        level = written(n.join(up, "parent").select("node", "parent", "root", F.lit(depth).alias("level"), F.concat_ws("/", "up", padded("node")).alias("path")), "thread-level", paths[-1])
+    done = nodes.sparkSession.read.schema(level.schema).parquet(*paths)
     return done.withColumn("is_reply", F.col("level") > 0)
 
 

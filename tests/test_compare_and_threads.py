@@ -31,3 +31,9 @@ def test_merged_roots(spark):
     a = spark.createDataFrame([(1, "p"), (2, None)], "k int, v string")
     b = spark.createDataFrame([(2, "f"), (3, "g")], "k int, v string")
     assert {r.k: r.v for r in threads.merged_roots(a, b, "k").collect()} == {1: "p", 2: "f", 3: "g"}
+
+
+def test_a_thread_deeper_than_64_levels_is_whole(spark):
+    df = spark.createDataFrame([(i, i - 1 if i > 1 else None) for i in range(1, 68)], "id long, parent long")
+    got = {r.node: (r.root, r.level) for r in threads.flattened(df, "id", "parent").select("node", "root", "level").collect()}
+    assert got == {i: (1, i - 1) for i in range(1, 68)}
