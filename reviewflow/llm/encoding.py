@@ -1,20 +1,22 @@
 """Garbled text from wrong character encoding -> affected fields and their original text.
 
-Method: expectation-maximisation with latent encoding chains per source and field. A chain (T read as W) turns a text's
-bytes in T into other characters of W; undoing it gives a candidate. Every field's evidence for a chain is the gain in log
-likelihood of the candidate over the text as it stands. A field's own evidence may be weak (one accent, one sign); the
-chains' shares in each (source, field) are latent and estimated by EM over all records, so that weak evidence is pooled.
-Each record is then repaired by its posterior.
+Method: expectation-maximisation with latent encoding chains per source and field. A chain (T read as W, or several one after
+the other) turns a text's bytes in T into other characters of W; undoing it gives a candidate. Every field that holds anything
+unlikely gives its evidence for every chain that would change it: the gain in log likelihood of the candidate over the text
+as it stands, weak and negative evidence too. Which chain a field went through, if any, is latent: EM over all records estimates
+the chains' shares in each (source, field), so that weak evidence is pooled, and each record is then repaired by its posterior.
 
-Likelihood: a character model (unigram and hashed bigram counts) over all rows whose text has no bare sign of garbling. A text
-that stands may also be an unusual but correct language: letters of one script then cost what a letter of its alphabet costs.
+Likelihood: a character model (folded bigrams, transitions of case) over all rows whose text has no bare sign of garbling. What
+garbled rows put into it is taken off by symbol: where a chain turns a common character into x, only what exceeds a share of that
+character's uses, in the same place, is counted as x's own use. A text that stands may also be an unusual but correct language:
+a word of one script then costs what letters of its alphabet cost, after a cost of leaving the languages of the corpus.
 
-Sizes: the model is bounded by its parameters (Unicode, 2^19 bigram cells); EM runs on a histogram of (source, field, chain,
-evidence bin), never on records; a source's histogram has at most chains x bins rows.
+Sizes: the model is bounded by its parameters (Unicode, 2^19 bigram cells). EM's steps are aggregations in Spark over a histogram
+of (source, field, evidence of all chains in bins); the shares, one row for each source, field and chain, are written in each round.
 
 Defined results
-* null, empty and pure ASCII texts are clean; replacement characters and private-use characters mean garbled, even where
-  nothing can be restored; ``repaired`` then holds what can be.
+* null, empty and pure ASCII texts are clean; replacement, private-use and control characters are evidence of a chain of their
+  own, ``lost``, by which nothing can be restored; ``repaired`` then is the text as it stands.
 * an empty table gives no rows; whole texts are read; a source that is null is a source of its own.
 """
 
@@ -26,7 +28,6 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
@@ -37,9 +38,9 @@ from reviewflow.llm.text import SIZE, flat
 from reviewflow.storage import ship_package, written
 
 CELLS = 1 << 19
-#: Evidence (nats) is binned by this width up to the top; below the least no candidate is kept.
-BIN, TOP, LEAST = 1.0, 40, 2.0
-EM_ROUNDS = 12
+#: Evidence (nats) is binned by this width, between these bounds.
+BIN, BOTTOM, TOP = 1.0, -20, 60
+EM_ROUNDS = 6
 #: Pseudo-count of records that a source starts with, and the share of them that is garbled.
 PRIOR_ROWS, PRIOR_SHARE = 50.0, 0.02
 
@@ -57,9 +58,23 @@ _LETTERWISE = {
     "cp1250": ("cp1252",),
 }
 #: What a letter costs right after a letter of another alphabet, unless the two look alike.
-SWITCH = -11.0
+SWITCH = -15.0
+#: What it costs to leave the languages of the corpus, and a letter there.
+FOREIGN, LETTER = -10.0, -4.2
+#: What a character costs more where it is a look-alike of the expected one.
+ALIKE = -2.5
 #: A character less likely than this after its predecessor asks for a closer look.
 UNLIKELY = -8.5
+#: Uses of a character from which on its own pairs count more than the frequency of what follows.
+BACK_OFF = 1000.0
+#: A symbol's uses are its own beyond this share of the uses of any character that a chain turns into it.
+USED = 0.1
+#: What may have been made by garbling alone has at most this share of the uses of what it may have been.
+RARER = 1 / 3
+#: What a character costs where bytes were lost.
+LOST = -6.0
+#: What each chain but the first costs in a composition.
+COMPOSED = -6.0
 
 
 @lru_cache(maxsize=64)
@@ -103,7 +118,7 @@ def _wide_in(codec: str) -> re.Pattern:
     return re.compile(f"[{h}][@-~{h}]*[{h}][@-~{h}]*|[{h}][@-~]")
 
 
-_CHUNK = re.compile("[^\\x00-\\x7f。，！？、；：“”‘’「」～…♪（）]{2,}")
+_CHUNK = re.compile("[^\\x00-\\x7f。，！？、；：“”‘’「」～…♪（）]+")
 _WORD = re.compile(r"\w*[^\W\d_a-zA-Z]\w*|[^\x00-\x7f\w]+")
 #: Letterwise chains to Cyrillic make whole words, never single letters in words of another script.
 _CYRILLIC = re.compile("[\u0400-\u045f]{3,}")
@@ -122,9 +137,6 @@ def _disguised() -> re.Pattern:
     return re.compile("|".join(out))
 
 
-_LOST = re.compile("[�-\x80-\x84\x86-\x9f─-╿]")
-
-
 # ---- character model -------------------------------------------------------------------------------------------------
 
 
@@ -140,18 +152,103 @@ def _before(points: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return out
 
 
+@lru_cache(maxsize=1)
+def _fold() -> np.ndarray:
+    """The lower case of each character that has one character for it."""
+    out = np.arange(SIZE, dtype=np.uint32)
+    for i in range(0x20, 0x1F000):
+        low = chr(i).lower()
+        if len(low) == 1:
+            out[i] = ord(low)
+    return out
+
+
+@lru_cache(maxsize=1)
+def _kind() -> np.ndarray:
+    """Lower-case letters 1, capitals 2, anything else 0."""
+    out = np.zeros(SIZE, dtype=np.int8)
+    for i in range(0x20, 0x1F000):
+        c = chr(i)
+        out[i] = 1 if c.islower() else 2 if c.isupper() else 0
+    return out
+
+
+@lru_cache(maxsize=1)
+def _alike() -> np.ndarray:
+    """The character that one looks like: its compatibility form of one character, or the Latin letter."""
+    out = np.arange(SIZE, dtype=np.uint32)
+    for i in range(0xA0, 0x1F000):
+        form = unicodedata.normalize("NFKC", chr(i))
+        if len(form) == 1:
+            out[i] = ord(form)
+    for latin, like in LOOK_ALIKES.items():
+        for c in like:
+            out[ord(c)] = ord(latin)
+    return out
+
+
+@lru_cache(maxsize=1)
+def _ideograph() -> np.ndarray:
+    """Ideographs, kana and Hangul 1, Latin letters -1."""
+    out = np.zeros(SIZE, dtype=np.int8)
+    for lo, hi, n in ((0x2E80, 0xA000, 1), (0xAC00, 0xD7B0, 1), (0x41, 0x5B, -1), (0x61, 0x7B, -1), (0xC0, 0x250, -1)):
+        out[lo:hi] = n
+    out[0x3000:0x3021] = 0
+    return out
+
+
+def _few_ideographs(points: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """For each text whether a few ideographs stand in a text of Latin letters."""
+    kind = _ideograph()[points]
+    east, latin = (np.concatenate([[0], np.cumsum(kind == k)])[offsets] for k in (1, -1))
+    east, latin = np.diff(east), np.diff(latin)
+    return (east > 0) & (east * 5 < latin)
+
+
+@lru_cache(maxsize=1)
+def _pairs() -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each double-byte code page that UTF-8 is read as without lookalikes of other signs: both bytes of each character."""
+    out = []
+    for w in ("gb18030", "big5", "cp949"):
+        hi, lo = np.zeros(SIZE, dtype=np.uint8), np.zeros(SIZE, dtype=np.uint8)
+        for i in range(0xA0, 0x10000):
+            if not 0xD800 <= i < 0xE000:
+                raw = _encoded(chr(i), w)
+                if raw and len(raw) == 2:
+                    hi[i], lo[i] = raw
+        out.append((hi, lo))
+    return out
+
+
+def _paired_utf8(points: np.ndarray) -> np.ndarray:
+    """Where three characters are, in a double-byte code page, the six bytes of two UTF-8 characters."""
+    hit = np.zeros(len(points), dtype=bool)
+    for hi, lo in _pairs():
+        a, b = hi[points], lo[points]
+        lead, more = (lambda x: x >> 4 == 0xE), (lambda x: x >> 6 == 2)
+        if len(points) > 2:
+            hit[:-2] |= lead(a[:-2]) & more(b[:-2]) & more(a[1:-1]) & lead(b[1:-1]) & more(a[2:]) & more(b[2:])
+    return hit
+
+
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row for each character and each bigram cell that a task saw; negative keys are cells."""
-    chars, cells = np.zeros(SIZE, dtype=np.int64), np.zeros(CELLS, dtype=np.int64)
+    """One row for each character, each transition of case and each bigram cell that a task saw: keys from 0, from SIZE, and below 0."""
+    chars, cells, cases = np.zeros(SIZE, dtype=np.int64), np.zeros(CELLS, dtype=np.int64), np.zeros(9, dtype=np.int64)
+    fold, kind = _fold(), _kind()
     for b in batches:
         for col in b.columns:
             texts = [t for t in col.to_pylist() if t and (t.isascii() or not (_SIGNS.search(t) or _disguised().search(t)))]
             if texts:
                 points, offsets = flat(texts)
+                signs = np.concatenate([[0], np.cumsum(_paired_utf8(points))])[offsets]
+                mixed = np.repeat(_few_ideographs(points, offsets) | (np.diff(signs) > 0), np.diff(offsets))
+                before = _before(points, offsets[:-1])
+                points, before = points[~mixed], before[~mixed]
                 chars += np.bincount(points, minlength=SIZE)
-                cells += np.bincount(_cells(points, _before(points, offsets[:-1])), minlength=CELLS)
-    keys = np.concatenate([np.flatnonzero(chars), -1 - np.flatnonzero(cells)])
-    n = np.concatenate([chars[chars > 0], cells[cells > 0]])
+                cells += np.bincount(_cells(fold[points], fold[before]), minlength=CELLS)
+                cases += np.bincount(3 * kind[before] + kind[points], minlength=9)
+    keys = np.concatenate([np.flatnonzero(chars), SIZE + np.flatnonzero(cases), -1 - np.flatnonzero(cells)])
+    n = np.concatenate([chars[chars > 0], cases[cases > 0], cells[cells > 0]])
     for i in range(0, len(keys), 50000):
         yield pa.RecordBatch.from_arrays([pa.array(keys[i : i + 50000]), pa.array(n[i : i + 50000])], names=["key", "n"])
 
@@ -160,19 +257,81 @@ class CharModel:
     """Log likelihoods of characters after their predecessor, from counts bounded by Unicode and CELLS."""
 
     def __init__(self, keys: np.ndarray, counts: np.ndarray) -> None:
-        self.chars, self.cells = np.zeros(SIZE, dtype=np.float32), np.zeros(CELLS, dtype=np.float32)
-        one = keys >= 0
-        self.chars[keys[one]] = counts[one]
-        self.cells[-1 - keys[~one]] = counts[~one]
-        self.total = float(self.chars.sum()) + 1.0
-        self.floor = _script_floor()
+        chars, cases = np.zeros(SIZE, dtype=np.float32), np.zeros(9)
+        self.cells = np.zeros(CELLS, dtype=np.float32)
+        char, case = (keys >= 0) & (keys < SIZE), keys >= SIZE
+        chars[keys[char]] = counts[char]
+        np.add.at(cases, keys[case] - SIZE, counts[case])
+        np.add.at(self.cells, -1 - keys[keys < 0], counts[keys < 0])
+        self.total = float(chars.sum()) + 1.0
+        cases = cases.reshape(3, 3)
+        turn = (cases + 0.5) / (cases[:, 1:].sum(1, keepdims=True) + 1.0)
+        turn[:, 0] = 1.0
+        self.case = np.log(turn).astype(np.float32).reshape(9)
+        self.folded = np.bincount(_fold(), weights=chars, minlength=SIZE).astype(np.float32)
+        self._symbols(chars)
+        self.own = self.folded[_fold()]
+        x = np.flatnonzero(self.slot)
+        self.own[x] -= USED * chars[self.other[self.slot[x]]].max(1)
+        self.own = np.maximum(self.own, 0)
+        self._ideographs(chars)
+
+    def _symbols(self, chars: np.ndarray) -> None:
+        """For each symbol x that a letterwise chain may have made, the characters that it may have been, as a matrix."""
+        made: dict[int, set[int]] = {}
+        for w, tos in _LETTERWISE.items():
+            for to in tos:
+                for x, y in _letter_table(to, w).items():
+                    if y != "�" and ord(y) != x and ord(y) >= 0xA0 and x < 0x3000:
+                        made.setdefault(x, set()).add(ord(y))
+        # Only a symbol that is far rarer than what it may have been can be made by garbling alone.
+        made = {x: ys for x, ys in ((x, sorted(y for y in ys if chars[x] <= RARER * chars[y] and self.folded[_fold()[x]] <= self.folded[_fold()[y]])) for x, ys in made.items()) if ys}
+        self.slot = np.zeros(0x3000, dtype=np.int16)
+        self.other = np.zeros((len(made) + 1, max(map(len, made.values()), default=1)), dtype=np.uint32)
+        for k, (x, ys) in enumerate(sorted(made.items()), 1):
+            self.slot[x] = k
+            self.other[k, : len(ys)] = ys
+
+    def _ideographs(self, chars: np.ndarray) -> None:
+        """The same for double-byte chains, which turn ideographs into ideographs: for each, the chain that explains it best."""
+        seen = [int(i) for i in np.flatnonzero(chars[:0x10000]) if i >= 0x2000 and not 0xD800 <= i < 0xE000]
+        self.chain, self.was, most = np.zeros(0x10000, dtype=np.int8), [], np.zeros(0x10000)
+        for w in WIDE:
+            for to in WIDE:
+                if to != w:
+                    was = np.arange(0x10000, dtype=np.uint32)
+                    for x in seen:
+                        raw = _encoded(chr(x), w)
+                        y, lost = _decoded(raw, to) if raw else ("", 0)
+                        if len(y) == 1 and not lost and ord(y) < 0x10000:
+                            was[x] = ord(y)
+                    self.was.append(was)
+                    n = np.where(was != np.arange(0x10000), chars[was], 0)
+                    better = (n > most) & (chars[:0x10000] <= USED * n)
+                    self.chain[better], most = len(self.was), np.where(better, n, most)
+        self.own[:0x10000] = np.maximum(self.own[:0x10000] - USED * most, 0)
 
     def scores(self, points: np.ndarray, before: np.ndarray) -> np.ndarray:
-        own = (self.chars[points] + 0.05) / (self.total + 5000)
+        fold, kind = _fold(), _kind()
+        f, fb = fold[points], fold[before]
+        pair = self.cells[_cells(f, fb)]
+        some = np.flatnonzero((points > 127) & (points < 0x3000))
+        some = some[self.slot[points[some]] > 0]
+        if len(some):
+            cells = self.cells[_cells(fold[self.other[self.slot[points[some]]]], fb[some][:, None])]
+            pair[some] -= USED * cells.max(1)
+        some = np.flatnonzero((points > 0x1FFF) & (points < 0x10000))
+        chain = self.chain[points[some]]
+        for k in np.unique(chain[chain > 0]):
+            one = some[chain == k]
+            was, prev = self.was[k - 1], np.minimum(before[one], 0xFFFF)
+            pair[one] -= USED * self.cells[_cells(was[points[one]], fold[was[prev]])]
         # A hashed cell may hold other pairs too; what chance puts into a cell is taken off.
-        pair = np.maximum(self.cells[_cells(points, before)] - self.total / CELLS * 0.02, 0)
-        pair = np.minimum(pair, self.chars[points])
-        return np.log(0.75 * pair / (self.chars[before] + 4.0) + 0.25 * own)
+        pair = np.clip(pair - self.total / CELLS * 0.02, 0, self.folded[f])
+        own = (self.own[points] + 0.05) / (self.total + 5000)
+        # The more often the predecessor was seen, the less a pair that was not seen with it is worth.
+        back = BACK_OFF / (self.folded[fb] + BACK_OFF)
+        return np.log((1 - back) * pair / (self.folded[fb] + 4.0) + back * own) + self.case[3 * kind[before] + kind[points]]
 
 
 @lru_cache(maxsize=1)
@@ -187,6 +346,11 @@ def _plain() -> np.ndarray:
         elif i > 0x2000 and kind[0] in "LNSP":
             form = unicodedata.normalize("NFKC", c)
             out[i] = form != c and len(form) <= 3
+    # What code pages have beside their letters is no variant, but for spaces and ligatures.
+    for w in SINGLE:
+        for c in _high(w):
+            if unicodedata.category(c) not in ("Zs", "Cf") and not "ﬀ" <= c <= "ﬆ":
+                out[ord(c)] = False
     return out
 
 
@@ -202,20 +366,35 @@ def _script() -> np.ndarray:
 
 
 @lru_cache(maxsize=1)
-def _script_floor() -> np.ndarray:
-    """What a character costs in a language this corpus hardly has: an alphabet's letter little, an ideograph much."""
+def _floor() -> np.ndarray:
+    """What a character costs at most where it stands: readable variants little, an ideograph or another sign much."""
     out = np.full(SIZE, -14.0, dtype=np.float32)
     for i in range(0x20, 0x30000):
         kind = unicodedata.category(chr(i))
-        if kind[0] in "LM":
-            out[i] = -4.5 if i < 0x2E80 or 0x3041 <= i <= 0x30FE else -8.5
+        if kind[0] == "L" and i >= 0x2E80:
+            out[i] = -4.5 if 0x3041 <= i <= 0x30FE else -8.5
         elif kind[0] in "NP":
-            out[i] = -8.0 if i < 0x80 or 0x2000 <= i < 0xFF00 else -11.0
-    out[0x80:0xA0] = -14.0
-    out[0xA1:0xC0] = -11.0
+            out[i] = -8.0 if i < 0x80 or 0x2E80 <= i < 0xFF00 else -11.0
+        elif i < 0x2E80:
+            out[i] = -18.0
+    out[0xA1:0xC0] = -13.0  # signs that texts of any language have now and then
+    out[[0xAA, 0xB5, 0xBA]] = -18.0
+    out[[0xD7, 0xF7]] = -13.0
     out[_plain()] = -4.5
+    out[_lost()] = -18.0
     for c in "“”‘’„–—…•€¡¿«»":
-        out[ord(c)] = -6.0
+        out[ord(c)] = -9.0
+    return out
+
+
+@lru_cache(maxsize=1)
+def _lost() -> np.ndarray:
+    """Characters that stand for bytes without meaning: replacement, private use, controls."""
+    out = np.zeros(SIZE, dtype=bool)
+    out[0x80:0xA0] = True
+    out[0x85] = False
+    out[0xE000:0xF900] = True
+    out[0xFFFD] = True
     return out
 
 
@@ -238,21 +417,67 @@ def _encoded(s: str, codec: str) -> bytes | None:
         return None
 
 
+_FOREIGN_WORD = re.compile(r"[^\W\d_]+")
+
+
 class _Text:
     """A text with the cost of its characters as they stand, so that any span is scored by a difference."""
 
     def __init__(self, text: str, model: CharModel) -> None:
         self.text, self.model = text, model
         p = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        score = model.scores(p, np.concatenate([[np.uint32(10)], p[:-1]]))
-        floor = model.floor[p]
-        script = _script()[p]
-        switch = np.concatenate([[False], (script[1:] != script[:-1]) & (script[1:] > 0) & (script[:-1] > 0)])
-        self.cost = np.concatenate([[0.0], np.cumsum(np.maximum(score, np.where(switch, SWITCH, floor)))]).tolist()
+        before = np.concatenate([[np.uint32(10)], p[:-1]])
+        score = model.scores(p, before)
         low = (p > 127) & (score < UNLIKELY) & ~_plain()[p]
         self.low = np.concatenate([[0], np.cumsum(low)]).tolist()
+        lost = _lost()[p]
+        like = _alike()[p]
+        other = like != p
+        if other.any():
+            score = np.maximum(score, model.scores(like, np.concatenate([[np.uint32(10)], like[:-1]])) + ALIKE * other)
+        script = _script()[p]
+        switch = np.concatenate([[False], (script[1:] != script[:-1]) & (script[1:] > 0) & (script[:-1] > 0)])
+        # An ideograph of a language that the corpus hardly has stands among others.
+        east = _ideograph()[p] > 0
+        alone = east & ~np.concatenate([[False], east[:-1]]) & ~np.concatenate([east[1:], [False]])
+        score = np.maximum(score, np.where(switch | alone, SWITCH, _floor()[p]))
+        kind = _kind()
+        letter = LETTER + model.case[3 * kind[before] + kind[p]] + np.where(switch, SWITCH, 0.0)
+        cost = self._settled(score, letter)
+        self.lost = float((LOST - cost[lost]).sum()) if lost.any() else 0.0
+        self.cost = np.concatenate([[0.0], np.cumsum(cost)]).tolist()
         self._runs: dict[re.Pattern, list[tuple[int, int, str]]] = {}
 
+    def _settled(self, score: np.ndarray, letter: np.ndarray) -> np.ndarray:
+        """The cheapest reading: words of the corpus's languages, or stretches of words that just are letters of an alphabet."""
+        words = [m.span() for m in _FOREIGN_WORD.finditer(self.text)]
+        words = [(a, z) for a, z in words if self.text[a] < "⺀"]
+        if not any(self.low[z] != self.low[a] for a, z in words):
+            return score
+        own, free = np.concatenate([[0.0], np.cumsum(score)]), np.concatenate([[0.0], np.cumsum(letter)])
+        # Two states by word: at home, or abroad since some word; costs are log likelihoods.
+        home, abroad, came = 0.0, -1e9, []
+        for a, z in words:
+            in_home, in_abroad, enter = own[z] - own[a], free[z] - free[a], home + FOREIGN > abroad
+            away = max(abroad, home + FOREIGN) + in_abroad
+            back = home >= abroad
+            home, abroad = max(home, abroad) + in_home, away
+            came.append((enter, back))
+        out, state = score, int(abroad > home)
+        for (a, z), (enter, back) in zip(reversed(words), reversed(came), strict=True):
+            if state:
+                out = out if out is not score else score.copy()
+                whole = free[z] - free[a] + (FOREIGN if enter else 0.0)
+                odd = np.flatnonzero(score[a:z] < UNLIKELY) + a
+                if len(odd):  # what is unlikely bears what the word costs more, so that undoing it gains that
+                    out[odd] = (whole - (own[z] - own[a] - score[odd].sum())) / len(odd)
+                else:
+                    out[a:z] = whole / (z - a)
+                state = int(not enter)
+            elif not back:
+                state = 1
+        return out
+
     def runs(self, pattern: re.Pattern) -> list[tuple[int, int, str]]:
         """The runs of a pattern that hold something unlikely; chains of one kind share them."""
         if pattern not in self._runs:
@@ -261,31 +486,28 @@ class _Text:
         return self._runs[pattern]
 
 
-def _undo(t: _Text) -> Iterator[list[tuple[float, str, str]]]:
-    """(gain, chain, text with the chain undone where that gains), kind of chain by kind, the most telling kind first."""
+def _undo(t: _Text) -> Iterator[tuple[float, str, str]]:
+    """(gain, chain, text with the chain undone) for every chain that would change the text."""
     odd = [c for c in set(t.text) if ord(c) > 127]
     own = {w: [_high(w)[c] for c in odd if c in _high(w)] for w in SINGLE}
     east = any(ord(c) > 0x2E7F for c in odd)
-    found = []
     for w in SINGLE:
         if own[w] and max(own[w]) >= 0xC2 and min(own[w]) < 0xC0:
-            found.append(_pieces(t, f"utf-8>{w}", _utf8_in(w), lambda s, k=_table(w): _decoded(s.translate(k).encode("latin-1"), "utf-8")))
+            yield _pieces(t, f"utf-8>{w}", _utf8_in(w), lambda s, k=_table(w): _decoded(s.translate(k).encode("latin-1"), "utf-8"))
             if w in ("cp1252", "mac_roman"):
-                found.append(_pieces(t, f"utf-8>{w} twice", _utf8_in(w), lambda s, w=w: _twice(s, w)))
-    for w in WIDE if east else ():
-        found.append(_pieces(t, f"utf-8>{w}", _CHUNK, lambda s, w=w: _wide(s, "utf-8", w)))
-    yield found
-    found = []
+                yield _pieces(t, f"utf-8>{w} twice", _utf8_in(w), lambda s, w=w: _twice(s, w))
     for w in ("cp1252", "mac_roman", "cp1251", "cp850", "koi8_r"):
         if len(own[w]) > 1:
             for to in WIDE:
-                found.append(_pieces(t, f"{to}>{w}", _wide_in(w), lambda s, k=_table(w), c=to: _widened(s, k, c)))
+                yield _pieces(t, f"{to}>{w}", _wide_in(w), lambda s, k=_table(w), c=to: _widened(s, k, c))
     for w in WIDE if east else ():
-        for to in WIDE:
+        for to in ("utf-8", *WIDE):
             if to != w:
-                found.append(_pieces(t, f"{to}>{w}", _CHUNK, lambda s, w=w, c=to: _wide(s, c, w)))
-    yield found
-    yield [_pieces(t, f"{to}>{w}", _WORD, None, _letterwise(t, to, w)) for w, tos in _LETTERWISE.items() if own[w] for to in tos]
+                yield _pieces(t, f"{to}>{w}", _CHUNK, lambda s, w=w, c=to: _wide(s, c, w))
+    for w, tos in _LETTERWISE.items():
+        if own[w]:
+            for to in tos:
+                yield _pieces(t, f"{to}>{w}", _WORD, None, _letterwise(t, to, w))
 
 
 @lru_cache(maxsize=64)
@@ -296,7 +518,7 @@ def _letter_table(t: str, w: str) -> dict[int, str]:
         try:
             out[ord(c)] = bytes([b]).decode(t)
         except UnicodeDecodeError:
-            out[ord(c)] = "\ufffd"
+            out[ord(c)] = "�"
     return out
 
 
@@ -306,7 +528,7 @@ def _letterwise(t: _Text, to: str, w: str) -> list[tuple[str, int] | None]:
     cyrillic = to in ("cp1251", "koi8_r", "cp866")
     for a, z, _ in t.runs(_WORD):
         s = whole[a:z]
-        out.append(None if "\ufffd" in s or cyrillic and not _CYRILLIC.fullmatch(s) else (s, 0))
+        out.append(None if "�" in s or cyrillic and not _CYRILLIC.fullmatch(s) else (s, 0))
     return out
 
 
@@ -316,7 +538,7 @@ def _twice(s: str, w: str) -> tuple[str, int]:
     return _utf8_in(w).sub(again, once), 0
 
 
-_TWO_WIDE = re.compile("[\u2e80-\uffef]{2}")
+_TWO_WIDE = re.compile("[⺀-￯]{2}")
 
 
 def _widened(s: str, table: dict[int, int], t: str) -> tuple[str, int] | None:
@@ -334,7 +556,10 @@ def _wide(s: str, t: str, w: str) -> tuple[str, int] | None:
 
 
 def _pieces(t: _Text, chain: str, runs: re.Pattern, undo, done: list | None = None) -> tuple[float, str, str]:  # noqa: ANN001
-    """The chain undone in every run that holds something unlikely and gains by it; all candidates are scored at once."""
+    """The chain undone in every run that holds something unlikely and gains by it, or else in the run that loses least.
+
+    All candidates are scored at once.
+    """
     text, spans, got, lost = t.text, [], [], []
     for k, (a, z, run) in enumerate(t.runs(runs)):
         x = done[k] if done is not None else undo(run)
@@ -352,49 +577,70 @@ def _pieces(t: _Text, chain: str, runs: re.Pattern, undo, done: list | None = No
         before[place] = ord(text[a - 1]) if a else 10
         place += len(g) + len(text[z : z + 1]) + 1
     score = np.concatenate([[0.0], np.cumsum(t.model.scores(p, before))])
-    gain, at, out, place = 0.0, 0, [], 0
+    better, place = [], 0
     for (a, z), s, n in zip(spans, got, lost, strict=True):
         size = len(s) + len(text[z : z + 1])
-        better = float(score[place + size] - score[place]) - 7.0 * n - (t.cost[min(z + 1, len(text))] - t.cost[a])
+        better.append(float(score[place + size] - score[place]) - 7.0 * n - (t.cost[min(z + 1, len(text))] - t.cost[a]))
         place += size + 1
-        if better > 1.0:
-            gain += better
+    least = max(better)
+    gain, at, out = 0.0, 0, []
+    for (a, z), s, b in zip(spans, got, better, strict=True):
+        if (b > 0 or b == least) and a >= at:
+            gain += b
             out += [text[at:a], s]
             at = z
     return gain, chain, "".join(out) + text[at:]
 
 
-def _weighed(found: tuple[float, str, str]) -> float:
-    """Chains whose bytes must be valid UTF-8 prove more than chains that turn any letter into some letter."""
-    name = found[1]
-    return found[0] * (2.0 if name.startswith("utf-8") else 1.0 if name.split(">")[0] in WIDE else 0.5)
-
-
-def restored(text: str, model: CharModel, rounds: int = 3) -> tuple[str, float, str]:
-    """(chain, gain, restored text) of the best way to undo chains one after the other; ('', 0, text) where none gains."""
-    chain, total, now = "", 0.0, _Text(text, model)
-    for _ in range(rounds):
-        best, after = (0.0, "", now.text), now
-        for found in _undo(now):
-            kind = max(found, key=_weighed, default=best)
-            if _weighed(kind) > _weighed(best):
-                best, after = kind, _Text(kind[2], model)
-            if after.low[-1] * 4 <= now.low[-1] and best[0] > LEAST:
-                break  # most of what was unlikely is explained
-        if best[0] < LEAST or best[2] == now.text:
+def evidence(text: str, model: CharModel) -> tuple[list[tuple[float, str]], str]:
+    """(gain, chain) of every chain that would change a text, and the text by the best of them.
+
+    Chains one after the other: whatever is left unlikely after the best chain is undone again, for as long as that gains; every
+    such composition is a chain too. Each step must make the text as it stands likelier, so no text comes twice and the steps end.
+    """
+    now, prefix, total, found = _Text(text, model), "", 0.0, []
+    if now.lost:
+        found.append((now.lost, "lost"))
+    best = text
+    while True:
+        step = [(total + g + (COMPOSED if prefix else 0.0), prefix + c, s) for g, c, s in _undo(now) if s != now.text]
+        if not step:
             break
-        chain, total, before, now = f"{chain}+{best[1]}" if chain else best[1], total + best[0], now, after
-        if now.low[-1] * 4 <= before.low[-1]:
+        top = max(step)
+        if prefix and top[0] <= total:
             break
-    return chain, total, now.text
+        found += [(g, c) for g, c, _ in step if not prefix or g > total]
+        if top[0] <= total:
+            break
+        after = _Text(top[2], model)
+        if after.cost[-1] <= now.cost[-1]:
+            break
+        total, prefix, best, now = top[0], f"{top[1]}+", top[2], after
+        if not now.low[-1]:
+            break
+    return found, best
+
 
+def restored(text: str, model: CharModel) -> tuple[str, float, str]:
+    """(chain, gain, restored text) by a text's own evidence only; ('', 0, text) where no chain gains."""
+    found, best = evidence(text, model)
+    gain, chain = max(found, default=(0.0, ""))
+    return (chain, gain, best) if gain > 0 else ("", 0.0, text)
 
-def _candidate_batches(model: Broadcast, fields: list[str]):
-    """(id, source, field, chain, bin, repaired) of fields with any evidence; a row without chain counts a task's clean fields."""
+
+def undone(text: str, chain: str, model: CharModel) -> str:
+    """The text with the chains undone one after the other."""
+    for name in chain.split("+"):
+        t = _Text(text, model)
+        text = next((s for _, c, s in _undo(t) if c == name), text)
+    return text
+
+
+def _evidence_batches(model: Broadcast, fields: list[str]):
+    """(id, source, field, text, chains, bins) of fields with any evidence; a row without id counts a task's other fields."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: CharModel = model.value
-        names = ["id", "source", "field", "chain", "bin", "repaired", "n"]
         clean: dict[tuple, int] = {}
         for b in batches:
             ids, sources = b.column(0).to_pylist(), b.column(1).to_pylist()
@@ -406,21 +652,37 @@ def _candidate_batches(model: Broadcast, fields: list[str]):
                         key = (sources[i], f)
                         clean[key] = clean.get(key, 0) + 1
                 for i in _suspects(texts, m):
-                    chain, gain, better = restored(texts[i], m)
-                    if _LOST.search(texts[i]):
-                        chain, gain = chain or "lost", gain + 12.0
-                    chain = chain.split("+")[0]  # the first chain undone is the one that the source applied last
-                    if gain >= LEAST:
+                    found = sorted((c, g) for g, c in evidence(texts[i], m)[0])
+                    if found:
                         clean[(sources[i], f)] -= 1
-                        out.append((ids[i], sources[i], f, chain, min(int(gain / BIN), TOP), better, 1))
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(_TYPES)], names=names)
-        rest = [(None, s, f, None, None, None, n) for (s, f), n in clean.items() if n]
-        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rest], t) for k, t in enumerate(_TYPES)], names=names)
+                        # Beyond the top only the differences between the chains matter.
+                        above = max(0.0, max(g for _, g in found) - TOP * BIN)
+                        bins = [int(max(BOTTOM, min(TOP, (g - above) // BIN))) for _, g in found]
+                        out.append((ids[i], sources[i], f, texts[i], [c for c, _ in found], bins, 1))
+            yield _batch(out)
+        yield _batch([(None, s, f, None, [], [], n) for (s, f), n in clean.items() if n])
 
     return run
 
 
-_TYPES = (pa.int64(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.string(), pa.int64())
+_EVIDENCE = "id long, source string, field string, text string, chains array<string>, bins array<int>, n long"
+_TYPES = (pa.int64(), pa.string(), pa.string(), pa.string(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.int64())
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    names = ["id", "source", "field", "text", "chains", "bins", "n"]
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(_TYPES)], names=names)
+
+
+def _repair_batches(model: Broadcast):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m: CharModel = model.value
+        for b in batches:
+            at = b.schema.get_field_index("text"), b.schema.get_field_index("chain")
+            out = [t if c == "lost" else undone(t, c, m) for t, c in zip(*(b.column(k).to_pylist() for k in at), strict=True)]
+            yield b.set_column(at[0], "text", pa.array(out, pa.string()))
+
+    return run
 
 
 @lru_cache(maxsize=1)
@@ -435,13 +697,16 @@ def _odd_table() -> np.ndarray:
 
 
 def _suspects(texts: list[str | None], m: CharModel, window: int = 4, low: float = -7.5) -> list[int]:
-    """Rows with an odd character that is unlikely where it stands, or with a window of unlikely characters. All others can't gain."""
+    """Rows that may gain by a chain: with an odd character, or an ideograph among Latin letters, that is unlikely where it stands, or
+    with a window of unlikely characters."""
     points, offsets = flat(texts)
     if not len(points):
         return []
-    row = np.repeat(np.arange(len(texts)), np.diff(offsets))
+    sizes = np.diff(offsets)
+    row = np.repeat(np.arange(len(texts)), sizes)
     score = np.where((points < 128) | _plain()[points], -3.0, m.scores(points, _before(points, offsets[:-1])))
-    hit = _odd_table()[points] & (score < UNLIKELY)
+    few = np.repeat(_few_ideographs(points, offsets), sizes) & (_ideograph()[points] > 0)
+    hit = (_odd_table()[points] | few) & (score < UNLIKELY)
     sums = np.cumsum(score)
     if len(points) > window:
         hit[window:] |= ((sums[window:] - sums[:-window]) < low * window) & (row[window:] == row[:-window])
@@ -453,22 +718,39 @@ def _suspects(texts: list[str | None], m: CharModel, window: int = 4, low: float
 # ---- EM --------------------------------------------------------------------------------------------------------------
 
 
-def _em(g: pd.DataFrame) -> pd.DataFrame:
-    """Shares of the chains in one (source, field), from its histogram; chain '' is clean."""
-    chains = sorted(c for c in g["chain"].dropna().unique())
-    place = {c: i for i, c in enumerate(chains)}
-    n_clean = float(g.loc[g["chain"].isna(), "n"].sum())
-    h = g[g["chain"].notna()]
-    n, which, evidence = h["n"].to_numpy(float), h["chain"].map(place).to_numpy(int), np.exp((h["bin"].to_numpy(float) + 0.5) * BIN)
-    share = np.full(len(chains), PRIOR_SHARE / max(1, len(chains)))
-    prior = PRIOR_ROWS * PRIOR_SHARE / max(1, len(chains))
+def _posteriors(rows: DataFrame, shares: DataFrame) -> DataFrame:
+    """Rows with the odds of each of their chains against no chain, by their evidence and the shares of their (source, field)."""
+    s = shares.withColumnsRenamed({"source": "s", "field": "f"})
+    joined = rows.join(s, F.col("source").eqNullSafe(F.col("s")) & (F.col("field") == F.col("f")), "left").drop("s", "f")
+    share = lambda c: F.coalesce(F.element_at("share", c), F.col("unseen"))
+    odds = F.zip_with("chains", "bins", lambda c, b: share(c) * F.exp((b + 0.5) * BIN) / F.col("clean_share"))
+    joined = joined.withColumn("odds", odds).withColumn("all_odds", F.aggregate("odds", F.lit(0.0), lambda a, x: a + x))
+    return joined.withColumn("posterior", F.col("all_odds") / (1 + F.col("all_odds")))
+
+
+def _shares(expected: DataFrame, totals: DataFrame) -> DataFrame:
+    """One row for each (source, field): its chains' shares, that of no chain, and that of a chain without any record."""
+    by = expected.groupBy("source", "field").agg(F.map_from_entries(F.collect_list(F.struct("chain", "mass"))).alias("mass"), F.sum("mass").alias("garbled"), F.count(F.lit(1)).alias("k"))
+    t = totals.withColumnsRenamed({"source": "s", "field": "f"})
+    joined = t.join(by, F.col("source").eqNullSafe(F.col("s")) & (F.col("field") == F.col("f")), "left")
+    prior, size = F.lit(PRIOR_ROWS * PRIOR_SHARE) / F.greatest("k", F.lit(1)), F.col("total") + PRIOR_ROWS
+    share = F.transform_values("mass", lambda _, v: (v + prior) / size)
+    clean = (size - PRIOR_ROWS * PRIOR_SHARE - F.coalesce("garbled", F.lit(0.0))) / size
+    return joined.select(F.col("s").alias("source"), F.col("f").alias("field"), share.alias("share"), (prior / size).alias("unseen"), clean.alias("clean_share"))
+
+
+def chain_shares(found: DataFrame) -> DataFrame:
+    """EM over the records' evidence: (source, field, share of each chain, unseen, clean_share)."""
+    histogram = written(found.where("id IS NOT NULL").groupBy("source", "field", "chains", "bins").agg(F.sum("n").cast("double").alias("n")), "encoding-histogram")
+    totals = written(found.groupBy("source", "field").agg(F.sum("n").cast("double").alias("total")), "encoding-totals")
+    # The start: every chain that any record has evidence for has the same small mass.
+    start = histogram.select("source", "field", F.explode("chains").alias("chain")).distinct().withColumn("mass", F.lit(0.0))
+    shares = written(_shares(start, totals), "encoding-shares")
     for _ in range(EM_ROUNDS):
-        garbled = share[which] * evidence
-        post = garbled / (garbled + 1 - share.sum())
-        share = (np.bincount(which, weights=n * post, minlength=len(chains)) + prior) / (n.sum() + n_clean + PRIOR_ROWS)
-    n, same = len(chains), lambda x: pd.Series([x] * len(chains), dtype=object)
-    named = {"source": same(g["source"].iloc[0] if g["source"].notna().any() else None), "field": same(g["field"].iloc[0]), "chain": pd.Series(chains, dtype=object)}
-    return pd.DataFrame({**named, "share": pd.Series(share, dtype=float), "clean_share": pd.Series([1 - share.sum()] * n, dtype=float)})
+        weighed = _posteriors(histogram, shares).select("source", "field", F.explode(F.arrays_zip("chains", "odds")).alias("c"), "n", "all_odds")
+        mass = weighed.groupBy("source", "field", F.col("c.chains").alias("chain")).agg(F.sum(F.col("n") * F.col("c.odds") / (1 + F.col("all_odds"))).alias("mass"))
+        shares = written(_shares(mass, totals), "encoding-shares")
+    return shares
 
 
 def char_model(rows: DataFrame, fields: list[str]) -> CharModel:
@@ -484,12 +766,8 @@ def garbled_fields(rows: DataFrame, row_id: str, source: str, fields: list[str])
     ship_package(spark)
     model = spark.sparkContext.broadcast(char_model(rows, fields))
     named = rows.select(F.col(f"`{row_id}`").cast("long").alias("id"), F.col(f"`{source}`").cast("string").alias("source"), *(F.col(f"`{f}`").alias(f"f{i}") for i, f in enumerate(fields)))
-    schema = "id long, source string, field string, chain string, bin int, repaired string, n long"
-    found = written(named.mapInArrow(_candidate_batches(model, fields), schema), "encoding-candidates")
-    histogram = found.groupBy("source", "field", "chain", "bin").agg(F.sum("n").alias("n"))
-    shares = histogram.groupBy("source", "field").applyInPandas(_em, "source string, field string, chain string, share double, clean_share double")
-    s = shares.withColumnsRenamed({"source": "s", "field": "f", "chain": "c"})
-    same = F.col("source").eqNullSafe(F.col("s")) & (F.col("field") == F.col("f")) & (F.col("chain") == F.col("c"))
-    odds = F.col("share") * F.exp((F.col("bin") + 0.5) * BIN)
-    scored = found.where("id IS NOT NULL").join(s, same).withColumn("posterior", odds / (odds + F.col("clean_share")))
-    return scored.where("posterior > 0.5").select(F.col("id").alias(row_id), "source", "field", "chain", "posterior", "repaired")
+    found = written(named.mapInArrow(_evidence_batches(model, fields), _EVIDENCE), "encoding-evidence")
+    scored = _posteriors(found.where("id IS NOT NULL"), chain_shares(found)).where("posterior > 0.5")
+    chain = F.element_at("chains", F.array_position("odds", F.array_max("odds")).cast("int"))
+    likely = scored.select(F.col("id").alias(row_id), "source", "field", chain.alias("chain"), "posterior", "text")
+    return likely.mapInArrow(_repair_batches(model), likely.schema).withColumnRenamed("text", "repaired")

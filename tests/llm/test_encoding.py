@@ -53,3 +53,34 @@ def test_rows(spark):
     assert set(got) == {(1000, "t"), (1001, "t"), (1001, "field"), (1002, "t"), (1004, "t")}
     assert got[1000, "t"].repaired == TEXTS[0] and got[1002, "t"].chain == "lost"
     assert garbled_fields(df.limit(0), "id", "source", ["t"]).count() == 0
+
+
+@pytest.fixture(scope="module")
+def reviews():
+    """Sentences of a small corpus with accents, of which some are garbled by one chain; the correct ones are decoys."""
+    words = ["café grinder", "naïve design", "décor light", "½ size", "5 °C inside", "€12 only", "Rosé cup", "it’s quiet"]
+    clean = [f"The {a} is near the {b} and works for {n} days" for n in range(40) for a in words for b in ("window", "door", "bed", "desk")]
+    return clean
+
+
+@pytest.mark.parametrize("chain", [("utf-8", "gb18030"), ("cp1252", "mac_roman"), ("mac_roman", "cp1252"), ("cp1252", "cp1251"), ("utf-8", "cp1252")])
+def test_single_letters_are_found(spark, reviews, chain):
+    made_by, read_as = chain
+    clean = reviews[:1200]
+    broken = []
+    for x in reviews[1200:]:
+        try:  # only what the chain can carry whole
+            broken.append(x.encode(made_by).decode(read_as))
+        except UnicodeError:
+            pass
+    broken = [t for t in broken if not t.isascii()][:60]
+    texts = [*clean, *(t for t in broken if t not in reviews)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, t string").selectExpr("id", "'s' source", "t")
+    got = {r.id: r for r in garbled_fields(df, "id", "source", ["t"]).collect()}
+    want = set(range(len(clean), len(texts)))
+    assert len(want & set(got)) >= 0.9 * len(want) and not set(got) - want
+
+
+def test_decoys_stay(spark, reviews):
+    df = spark.createDataFrame(list(enumerate([*reviews, *CLEAN])), "id long, t string").selectExpr("id", "'s' source", "t")
+    assert garbled_fields(df, "id", "source", ["t"]).count() == 0
