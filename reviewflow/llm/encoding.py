@@ -486,28 +486,47 @@ class _Text:
         return self._runs[pattern]
 
 
-def _undo(t: _Text) -> Iterator[tuple[float, str, str]]:
-    """(gain, chain, text with the chain undone) for every chain that would change the text."""
+#: A piece of a text that a chain would change: its span, what it becomes, and how many bytes give nothing.
+_Piece = tuple[int, int, str, int]
+
+
+def _candidates(t: _Text, only: str | None = None) -> Iterator[tuple[str, list[_Piece]]]:
+    """(chain, pieces) for every chain, or one, that would change the text."""
     odd = [c for c in set(t.text) if ord(c) > 127]
     own = {w: [_high(w)[c] for c in odd if c in _high(w)] for w in SINGLE}
     east = any(ord(c) > 0x2E7F for c in odd)
     for w in SINGLE:
         if own[w] and max(own[w]) >= 0xC2 and min(own[w]) < 0xC0:
-            yield _pieces(t, f"utf-8>{w}", _utf8_in(w), lambda s, k=_table(w): _decoded(s.translate(k).encode("latin-1"), "utf-8"))
-            if w in ("cp1252", "mac_roman"):
-                yield _pieces(t, f"utf-8>{w} twice", _utf8_in(w), lambda s, w=w: _twice(s, w))
+            if only in (None, f"utf-8>{w}"):
+                yield f"utf-8>{w}", _changed(t, _utf8_in(w), lambda s, k=_table(w): _decoded(s.translate(k).encode("latin-1"), "utf-8"))
+            if w in ("cp1252", "mac_roman") and only in (None, f"utf-8>{w} twice"):
+                yield f"utf-8>{w} twice", _changed(t, _utf8_in(w), lambda s, w=w: _twice(s, w))
     for w in ("cp1252", "mac_roman", "cp1251", "cp850", "koi8_r"):
         if len(own[w]) > 1:
-            for to in WIDE:
-                yield _pieces(t, f"{to}>{w}", _wide_in(w), lambda s, k=_table(w), c=to: _widened(s, k, c))
+            raw = {run: run.translate(_table(w)).encode("latin-1", "ignore") for _, _, run in t.runs(_wide_in(w))}
+            for to in WIDE if raw else ():
+                if only in (None, f"{to}>{w}"):
+                    yield f"{to}>{w}", _changed(t, _wide_in(w), lambda s, raw=raw, c=to: _widened(raw[s], len(s), c))
     for w in WIDE if east else ():
-        for to in ("utf-8", *WIDE):
-            if to != w:
-                yield _pieces(t, f"{to}>{w}", _CHUNK, lambda s, w=w, c=to: _wide(s, c, w))
+        raw = {run: _encoded(run, w) for _, _, run in t.runs(_CHUNK)}
+        for to in ("utf-8", *WIDE) if any(raw.values()) else ():
+            if to != w and only in (None, f"{to}>{w}"):
+                yield f"{to}>{w}", _changed(t, _CHUNK, lambda s, raw=raw, c=to: _wide(raw[s], c))
     for w, tos in _LETTERWISE.items():
         if own[w]:
             for to in tos:
-                yield _pieces(t, f"{to}>{w}", _WORD, None, _letterwise(t, to, w))
+                if only in (None, f"{to}>{w}"):
+                    yield f"{to}>{w}", _letterwise(t, to, w)
+
+
+def _changed(t: _Text, runs: re.Pattern, undo) -> list[_Piece]:  # noqa: ANN001
+    """The chain undone in every run that holds something unlikely."""
+    out = []
+    for a, z, run in t.runs(runs):
+        x = undo(run)
+        if x is not None and x[0] and x[0] != run:
+            out.append((a, z, x[0], x[1]))
+    return out
 
 
 @lru_cache(maxsize=64)
@@ -522,14 +541,15 @@ def _letter_table(t: str, w: str) -> dict[int, str]:
     return out
 
 
-def _letterwise(t: _Text, to: str, w: str) -> list[tuple[str, int] | None]:
-    """Each run with the bytes of its letters read in the other codec; the whole text is translated once."""
-    whole, out = t.text.translate(_letter_table(to, w)), []
+def _letterwise(t: _Text, to: str, w: str) -> list[_Piece]:
+    """Each run with the bytes of its letters read in the other codec; all runs are translated at once."""
+    runs = t.runs(_WORD)
+    if not runs:
+        return []
+    made = "\n".join(run for _, _, run in runs).translate(_letter_table(to, w)).split("\n")
     cyrillic = to in ("cp1251", "koi8_r", "cp866")
-    for a, z, _ in t.runs(_WORD):
-        s = whole[a:z]
-        out.append(None if "�" in s or cyrillic and not _CYRILLIC.fullmatch(s) else (s, 0))
-    return out
+    pieces = zip(runs, made, strict=True)
+    return [(a, z, s, 0) for (a, z, run), s in pieces if s != run and "�" not in s and not (cyrillic and not _CYRILLIC.fullmatch(s))]
 
 
 def _twice(s: str, w: str) -> tuple[str, int]:
@@ -541,55 +561,51 @@ def _twice(s: str, w: str) -> tuple[str, int]:
 _TWO_WIDE = re.compile("[⺀-￯]{2}")
 
 
-def _widened(s: str, table: dict[int, int], t: str) -> tuple[str, int] | None:
+def _widened(raw: bytes, size: int, t: str) -> tuple[str, int] | None:
     """Double-byte text read as single bytes; one ideograph alone among other letters is chance."""
-    out = _decoded(s.translate(table).encode("latin-1", "ignore"), t)
-    return out if out[1] * 6 <= len(s) and _TWO_WIDE.search(out[0]) else None
+    out = _decoded(raw, t)
+    return out if out[1] * 6 <= size and _TWO_WIDE.search(out[0]) else None
 
 
-def _wide(s: str, t: str, w: str) -> tuple[str, int] | None:
-    raw = _encoded(s, w)
+def _wide(raw: bytes | None, t: str) -> tuple[str, int] | None:
     if not raw:
         return None
     out, lost = _decoded(raw, t)
     return (out, lost) if lost * 8 <= len(raw) + 8 else None
 
 
-def _pieces(t: _Text, chain: str, runs: re.Pattern, undo, done: list | None = None) -> tuple[float, str, str]:  # noqa: ANN001
-    """The chain undone in every run that holds something unlikely and gains by it, or else in the run that loses least.
-
-    All candidates are scored at once.
-    """
-    text, spans, got, lost = t.text, [], [], []
-    for k, (a, z, run) in enumerate(t.runs(runs)):
-        x = done[k] if done is not None else undo(run)
-        if x is not None and x[0] and x[0] != run:
-            spans.append((a, z))
-            got.append(x[0])
-            lost.append(x[1])
-    if not spans:
-        return 0.0, chain, text
-    # Each candidate is scored where it stands: after the character before it, and with the one that follows.
-    joined = "\n".join(g + text[z : z + 1] for g, (_, z) in zip(got, spans, strict=True))
-    p = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    before, place = np.concatenate([[np.uint32(10)], p[:-1]]), 0
-    for (a, z), g in zip(spans, got, strict=True):
-        before[place] = ord(text[a - 1]) if a else 10
-        place += len(g) + len(text[z : z + 1]) + 1
+def _gains(t: _Text, chains: list[tuple[str, list[_Piece]]]) -> dict[tuple[int, int, str], float]:
+    """The gain of every piece, each scored once where it stands: after the character before it, and with the one that follows."""
+    text = t.text
+    keys = list({(a, z, s): n for _, pieces in chains for a, z, s, n in pieces}.items())
+    followed = [s + text[z : z + 1] for (_, z, s), _ in keys]
+    p = np.frombuffer("\n".join(followed).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    ends = np.cumsum([len(s) + 1 for s in followed])
+    starts = ends - [len(s) + 1 for s in followed]
+    before = np.concatenate([[np.uint32(10)], p[:-1]])
+    before[starts] = [ord(text[a - 1]) if a else 10 for (a, _, _), _ in keys]
     score = np.concatenate([[0.0], np.cumsum(t.model.scores(p, before))])
-    better, place = [], 0
-    for (a, z), s, n in zip(spans, got, lost, strict=True):
-        size = len(s) + len(text[z : z + 1])
-        better.append(float(score[place + size] - score[place]) - 7.0 * n - (t.cost[min(z + 1, len(text))] - t.cost[a]))
-        place += size + 1
-    least = max(better)
-    gain, at, out = 0.0, 0, []
-    for (a, z), s, b in zip(spans, got, better, strict=True):
-        if (b > 0 or b == least) and a >= at:
-            gain += b
-            out += [text[at:a], s]
-            at = z
-    return gain, chain, "".join(out) + text[at:]
+    score = (score[ends - 1] - score[starts]).tolist()
+    last = len(text)
+    return {k: x - 7.0 * n - (t.cost[min(k[1] + 1, last)] - t.cost[k[0]]) for (k, n), x in zip(keys, score, strict=True)}
+
+
+def _best(pieces: list[_Piece], gains: dict[tuple[int, int, str], float]) -> tuple[float, list[_Piece]]:
+    """The gain of a chain in every run that gains by it, or else in the run that loses least."""
+    better = [gains[a, z, s] for a, z, s, _ in pieces]
+    least, kept = max(better), []
+    for piece, b in zip(pieces, better, strict=True):
+        if (b > 0 or b == least) and (not kept or piece[0] >= kept[-1][0][1]):
+            kept.append((piece, b))
+    return sum(b for _, b in kept), [piece for piece, _ in kept]
+
+
+def _replaced(text: str, pieces: list[_Piece]) -> str:
+    at, out = 0, []
+    for a, z, s, _ in pieces:
+        out += [text[at:a], s]
+        at = z
+    return "".join(out) + text[at:]
 
 
 def evidence(text: str, model: CharModel) -> tuple[list[tuple[float, str]], str]:
@@ -601,24 +617,25 @@ def evidence(text: str, model: CharModel) -> tuple[list[tuple[float, str]], str]
     now, prefix, total, found = _Text(text, model), "", 0.0, []
     if now.lost:
         found.append((now.lost, "lost"))
-    best = text
     while True:
-        step = [(total + g + (COMPOSED if prefix else 0.0), prefix + c, s) for g, c, s in _undo(now) if s != now.text]
-        if not step:
+        chains = [(c, pieces) for c, pieces in _candidates(now) if pieces]
+        if not chains:
             break
-        top = max(step)
+        gains, cost = _gains(now, chains), COMPOSED if prefix else 0.0
+        step = [(total + cost + _best(pieces, gains)[0], prefix + c) for c, pieces in chains]
+        top, (_, pieces) = max(zip(step, chains, strict=True))
         if prefix and top[0] <= total:
             break
-        found += [(g, c) for g, c, _ in step if not prefix or g > total]
+        found += [x for x in step if not prefix or x[0] > total]
         if top[0] <= total:
             break
-        after = _Text(top[2], model)
+        after = _Text(_replaced(now.text, _best(pieces, gains)[1]), model)
         if after.cost[-1] <= now.cost[-1]:
             break
-        total, prefix, best, now = top[0], f"{top[1]}+", top[2], after
+        total, prefix, now = top[0], f"{top[1]}+", after
         if not now.low[-1]:
             break
-    return found, best
+    return found, now.text
 
 
 def restored(text: str, model: CharModel) -> tuple[str, float, str]:
@@ -632,7 +649,9 @@ def undone(text: str, chain: str, model: CharModel) -> str:
     """The text with the chains undone one after the other."""
     for name in chain.split("+"):
         t = _Text(text, model)
-        text = next((s for _, c, s in _undo(t) if c == name), text)
+        chains = [(c, pieces) for c, pieces in _candidates(t, name) if pieces]
+        if chains:
+            text = _replaced(text, _best(chains[0][1], _gains(t, chains))[1])
     return text
 
 
