@@ -73,6 +73,8 @@ USED = 0.1
 RARER = 1 / 3
 #: What a character costs where bytes were lost.
 LOST = -6.0
+#: A gain (nats) from which other chains need not be tried.
+CERTAIN = 120.0
 #: What each chain but the first costs in a composition.
 COMPOSED = -6.0
 
@@ -501,6 +503,8 @@ def _candidates(t: _Text, only: str | None = None) -> Iterator[tuple[str, list[_
                 yield f"utf-8>{w}", _changed(t, _utf8_in(w), lambda s, k=_table(w): _decoded(s.translate(k).encode("latin-1"), "utf-8"))
             if w in ("cp1252", "mac_roman") and only in (None, f"utf-8>{w} twice"):
                 yield f"utf-8>{w} twice", _changed(t, _utf8_in(w), lambda s, w=w: _twice(s, w))
+    if only is None:
+        yield "", []  # the end of the chains whose bytes must be valid UTF-8
     for w in ("cp1252", "mac_roman", "cp1251", "cp850", "koi8_r"):
         if len(own[w]) > 1:
             raw = {run: run.translate(_table(w)).encode("latin-1", "ignore") for _, _, run in t.runs(_wide_in(w))}
@@ -552,10 +556,11 @@ def _letterwise(t: _Text, to: str, w: str) -> list[_Piece]:
     return [(a, z, s, 0) for (a, z, run), s in pieces if s != run and "�" not in s and not (cyrillic and not _CYRILLIC.fullmatch(s))]
 
 
-def _twice(s: str, w: str) -> tuple[str, int]:
+def _twice(s: str, w: str) -> tuple[str, int] | None:
     once = s.translate(_table(w)).encode("latin-1").decode("utf-8", "ignore")
     again = lambda m: m.group().translate(_table(w)).encode("latin-1").decode("utf-8", "ignore")
-    return _utf8_in(w).sub(again, once), 0
+    twice = _utf8_in(w).sub(again, once)
+    return (twice, 0) if twice != once else None
 
 
 _TWO_WIDE = re.compile("[⺀-￯]{2}")
@@ -618,7 +623,16 @@ def evidence(text: str, model: CharModel) -> tuple[list[tuple[float, str]], str]
     if now.lost:
         found.append((now.lost, "lost"))
     while True:
-        chains = [(c, pieces) for c, pieces in _candidates(now) if pieces]
+        chains, gains, every = [], {}, _candidates(now)
+        for c, pieces in every:
+            if pieces:
+                chains.append((c, pieces))
+            elif not c and chains:
+                gains = _gains(now, chains)
+                top, pieces = max((_best(x, gains) for _, x in chains), key=lambda b: b[0])
+                covered = sum(now.low[z] - now.low[a] for a, z, _, _ in pieces)
+                if top > CERTAIN and covered == now.low[-1]:
+                    break  # bytes of valid UTF-8 that explain everything: no other chain comes near
         if not chains:
             break
         gains, cost = _gains(now, chains), COMPOSED if prefix else 0.0
@@ -656,7 +670,7 @@ def undone(text: str, chain: str, model: CharModel) -> str:
 
 
 def _evidence_batches(model: Broadcast, fields: list[str]):
-    """(id, source, field, text, chains, bins) of fields with any evidence; a row without id counts a task's other fields."""
+    """(id, source, field, text, best chain by its own evidence, text by it, chains, bins) of fields with any evidence; a row without id counts a task's other fields."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: CharModel = model.value
@@ -671,25 +685,26 @@ def _evidence_batches(model: Broadcast, fields: list[str]):
                         key = (sources[i], f)
                         clean[key] = clean.get(key, 0) + 1
                 for i in _suspects(texts, m):
-                    found = sorted((c, g) for g, c in evidence(texts[i], m)[0])
+                    found, better = evidence(texts[i], m)
+                    found, best = sorted((c, g) for g, c in found), max(found, default=(0.0, ""))
                     if found:
                         clean[(sources[i], f)] -= 1
                         # Beyond the top only the differences between the chains matter.
                         above = max(0.0, max(g for _, g in found) - TOP * BIN)
                         bins = [int(max(BOTTOM, min(TOP, (g - above) // BIN))) for _, g in found]
-                        out.append((ids[i], sources[i], f, texts[i], [c for c, _ in found], bins, 1))
+                        out.append((ids[i], sources[i], f, texts[i], best[1], better if best[0] > 0 else None, [c for c, _ in found], bins, 1))
             yield _batch(out)
-        yield _batch([(None, s, f, None, [], [], n) for (s, f), n in clean.items() if n])
+        yield _batch([(None, s, f, None, None, None, [], [], n) for (s, f), n in clean.items() if n])
 
     return run
 
 
-_EVIDENCE = "id long, source string, field string, text string, chains array<string>, bins array<int>, n long"
-_TYPES = (pa.int64(), pa.string(), pa.string(), pa.string(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.int64())
+_EVIDENCE = "id long, source string, field string, text string, best string, better string, chains array<string>, bins array<int>, n long"
+_TYPES = (pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.string(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.int64())
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    names = ["id", "source", "field", "text", "chains", "bins", "n"]
+    names = ["id", "source", "field", "text", "best", "better", "chains", "bins", "n"]
     return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(_TYPES)], names=names)
 
 
@@ -697,9 +712,11 @@ def _repair_batches(model: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: CharModel = model.value
         for b in batches:
-            at = b.schema.get_field_index("text"), b.schema.get_field_index("chain")
-            out = [t if c == "lost" else undone(t, c, m) for t, c in zip(*(b.column(k).to_pylist() for k in at), strict=True)]
-            yield b.set_column(at[0], "text", pa.array(out, pa.string()))
+            names = ("text", "chain", "best", "better")
+            rows = zip(*(b.column(b.schema.get_field_index(n)).to_pylist() for n in names), strict=True)
+            # By its own evidence most records went through the chain that the posterior says, too.
+            out = [t if c == "lost" else better if c == best and better is not None else undone(t, c, m) for t, c, best, better in rows]
+            yield b.set_column(b.schema.get_field_index("text"), "text", pa.array(out, pa.string()))
 
     return run
 
@@ -788,5 +805,5 @@ def garbled_fields(rows: DataFrame, row_id: str, source: str, fields: list[str])
     found = written(named.mapInArrow(_evidence_batches(model, fields), _EVIDENCE), "encoding-evidence")
     scored = _posteriors(found.where("id IS NOT NULL"), chain_shares(found)).where("posterior > 0.5")
     chain = F.element_at("chains", F.array_position("odds", F.array_max("odds")).cast("int"))
-    likely = scored.select(F.col("id").alias(row_id), "source", "field", chain.alias("chain"), "posterior", "text")
-    return likely.mapInArrow(_repair_batches(model), likely.schema).withColumnRenamed("text", "repaired")
+    likely = scored.select(F.col("id").alias(row_id), "source", "field", chain.alias("chain"), "posterior", "text", "best", "better")
+    return likely.mapInArrow(_repair_batches(model), likely.schema).withColumnRenamed("text", "repaired").drop("best", "better")
