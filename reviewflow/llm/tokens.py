@@ -4,7 +4,9 @@ Method: a bounded-lookahead streaming transducer. Text is cut into pieces by the
 each piece's bytes run through a transducer that keeps, for the last ``lookahead`` positions only, the last token of the
 encoding of the prefix that ends there. A token is emitted as soon as the prefixes of all positions in that window agree on
 it, for no byte to come can change it then. The sufficient lookahead is computed from the merge list: a token can't be longer
-than the longest merge result, so every later prefix is built on a prefix in the window. Memory is constant in the length of the piece.
+than the longest merge result, so every later prefix is built on a prefix in the window. What is kept is the window and the stretch
+before it on which its prefixes don't agree yet; it doesn't grow with the piece, unless a vocabulary leaves a piece undecided to its end.
+The tokens that end at a position come from an automaton over the merge results, longest first.
 Decoding is an incremental byte-to-text state machine.
 
 Defined results
@@ -21,6 +23,7 @@ from collections import deque
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
+import ahocorasick
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -67,13 +70,12 @@ class Vocabulary:
         self.whole = {b: i for b, i in self.ids.items() if i in merged or len(b) == 1}
         #: The sufficient lookahead: the longest token in bytes.
         self.lookahead = max(map(len, self.whole))
-        # For the search of tokens that end at a position: the lengths that occur, by the last two bytes.
-        lengths: dict[bytes, set[int]] = {}
-        for b in self.whole:
-            if len(b) > 1:
-                lengths.setdefault(b[-2:], set()).add(len(b))
-        self.lengths = {k: (*sorted(v, reverse=True), 1) for k, v in lengths.items()}
-        self._fits: dict[tuple[int, int], bool] = {}
+        # All tokens that end at a position, longest first; bytes stand as the characters of their numbers.
+        self.ends = ahocorasick.Automaton()
+        for b, i in self.whole.items():
+            self.ends.add_word(b.decode("latin-1"), (i, len(b)))
+        self.ends.make_automaton()
+        self._fits: dict[int, bool] = {}
 
     def fits(self, a: int, b: int) -> bool:
         """Whether two tokens side by side are what their joined bytes are encoded to.
@@ -81,11 +83,34 @@ class Vocabulary:
         The merges inside both tokens are undone from the latest to the earliest; at every moment the two tokens that touch
         must not have had an earlier merge of their own than the merge that is undone next.
         """
-        known = self._fits.get((a, b))
+        known = self._fits.get(a << 32 | b)
         if known is None:
-            known = self._fits[a, b] = self._touch(a, b)
+            known = self._fits[a << 32 | b] = self._touch(a, b)
         return known
 
+    def encoded(self, raw: bytes) -> tuple[int, ...]:
+        """The ids of a piece that is no longer than the window, at once."""
+        known, fits, done = self._fits, self.fits, -1
+        token, size = [0] * (len(raw) + 1), [0] * (len(raw) + 1)
+        for end, (t, n) in self.ends.iter(raw.decode("latin-1")):
+            if end == done:
+                continue
+            at = end + 1 - n
+            if at:
+                before = token[at]
+                ok = known.get(before << 32 | t)
+                if ok is None:
+                    ok = fits(before, t)
+                if not ok:
+                    continue
+            done = end
+            token[end + 1], size[end + 1] = t, n
+        out, at = [], len(raw)
+        while at:
+            out.append(token[at])
+            at -= size[at]
+        return tuple(reversed(out))
+
     def _touch(self, a: int, b: int) -> bool:
         order, pair, rank = self.order, self.pair, self.rank
         limit = 1 << 60
@@ -104,49 +129,44 @@ class Vocabulary:
 
 
 class Transducer:
-    """Encodes one piece, byte by byte, with a window of constant size."""
+    """Encodes one piece, byte by byte, with a window."""
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.v = vocabulary
         self.reset()
 
     def reset(self) -> None:
-        self.tail = bytearray()  # the last lookahead bytes
+        self.found = self.v.ends.iter("")
         self.last: deque[tuple[int, int]] = deque()  # (token, its length) that ends at each position of the window
+        self.before = -1  # the last token that is out
         self.done = 0  # position up to which tokens are out
         self.at = 0
 
     def feed(self, data: Iterable[int]) -> Iterator[int]:
-        v, keep = self.v, self.v.lookahead
-        for byte in data:
-            self.tail.append(byte)
-            if len(self.tail) > keep:
-                del self.tail[0]
-            self.at += 1
-            self.last.append(self._ending())
-            if len(self.last) > 2 * keep:
+        """Ids that are stable after some more bytes; a few thousand bytes at a time are given to the automaton."""
+        v, data = self.v, bytes(data)
+        step = v.lookahead
+        for lo in range(0, len(data), step):
+            part = data[lo : lo + step]
+            base, fixed = self.at, self.at
+            self.found.set(part.decode("latin-1"))
+            for end, (token, n) in self.found:
+                # The automaton counts from its first byte; a longer token that ended here was taken already.
+                if end < fixed:
+                    continue
+                at = end + 1 - n
+                if at < self.done:
+                    continue
+                if at:
+                    before = self.before if at == self.done else self.last[at - self.done - 1][0]
+                    if not v.fits(before, token):
+                        continue
+                self.last.append((token, n))
+                fixed = end + 1
+            self.at = base + len(part)
+            if len(self.last) > 2 * step:
                 yield from self._stable()
 
-    def _ending(self) -> tuple[int, int]:
-        v, tail, last = self.v, self.tail, self.last
-        n_tail, held, open_ = len(tail), len(last), self.at - self.done
-        whole, known = v.whole, v._fits
-        for n in v.lengths.get(bytes(tail[-2:]), (1,)):
-            if n > open_ or n > n_tail:
-                continue
-            token = whole.get(bytes(tail[n_tail - n :]))
-            if token is None:
-                continue
-            if n == open_ and self.done == 0:
-                return token, n
-            before = self.before if n == open_ else last[held - n][0]
-            fits = known.get((before, token))
-            if fits is None:
-                fits = v.fits(before, token)
-            if fits:
-                return token, n
-        raise AssertionError("every byte is a token")  # pragma: no cover
-
     def _path(self, end: int) -> Iterator[tuple[int, int]]:
         """Boundaries and tokens of the encoding of the prefix that ends at a position, backwards to what is out."""
         first = self.at - len(self.last)
@@ -195,7 +215,12 @@ class Encoder:
         if got is None:
             raw = s.encode("utf-8", "replace") if s.isascii() else s.encode("utf-16", "surrogatepass").decode("utf-16", "replace").encode("utf-8")
             whole = self.v.whole.get(raw)
-            got = (whole,) if whole is not None else (*self.transducer.feed(raw), *self.transducer.finish())
+            if whole is not None:
+                got = (whole,)
+            elif len(raw) <= self.v.lookahead:
+                got = self.v.encoded(raw)
+            else:
+                got = (*self.transducer.feed(raw), *self.transducer.finish())
             if len(s) <= 64:
                 if len(self.known) >= REMEMBERED:
                     self.known.clear()
