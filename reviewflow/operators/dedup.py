@@ -13,6 +13,7 @@ from reviewflow.conf import values as V
 from reviewflow.functions.numbers import likes_for_ranking
 from reviewflow.functions.text import nonblank, pystrip, strip_https
 from reviewflow.operators.rules import deletion_reason
+from reviewflow.storage import written
 
 DUPLICATE = "同一工作表内重复评论（保留点赞数最高，点赞相同保留最后一条）"
 SUBCOMMENTS = ("一级评论", "二级评论", "三级评论")
@@ -79,7 +80,7 @@ def clean_rows(rows: DataFrame, sheet: list[str], order: list[str], comment: str
 def event_log(rows: DataFrame, sheet: list[str], order: list[str], comment: str, likes: str | None, row_number: str, clean_words: list[str] | None = None) -> DataFrame:
     """(action, sheet..., row_number, column_header, reason, value): deleted rows by their original number, cleared cells by the
     number they have after the deletions. All ``delete_row`` events come first; sort by ``_event_order`` to write them."""
-    marked = with_reasons(rows, sheet, order, comment, likes, clean_words)
+    marked = written(with_reasons(rows, sheet, order, comment, likes, clean_words), "events-marked")  # three branches read it
     deleted = marked.where("_reason IS NOT NULL").select(
         F.lit("delete_row").alias("action"), *sheet, F.col(row_number).cast("long").alias("row_number"), F.lit("").alias("column_header"),
         F.col("_reason").alias("reason"), F.col(f"`{comment}`").alias("value"),

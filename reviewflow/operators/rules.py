@@ -5,7 +5,6 @@ Terms are grouped by script once on the driver, so that a row tests only the ter
 
 from __future__ import annotations
 
-import json
 import re
 from functools import reduce
 
@@ -13,7 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from reviewflow.conf import values as V
-from reviewflow.functions.text import HAN, fold, script_group, word_count
+from reviewflow.functions.text import HAN, bound, fold, script_group, word_count
 
 _ORDER = (("japanese", "぀-ヿ"), ("korean", "가-힯ᄀ-ᇿ"), ("thai", "฀-๿"), ("hindi", "ऀ-ॿ"), ("chinese", "一-鿿"))
 GROUPS = ("latin", "chinese", "japanese", "korean", "thai", "hindi", "neutral")
@@ -44,23 +43,24 @@ def _needle(term: str, group: str, any_case: bool) -> str:
 def fixed_term(c: Column) -> Column:
     """The first fixed term that a comment of the term's script (or a neutral term) contains, else null.
 
-    A term's pattern is tried only where the comment contains the term at all.
+    Script, text and folded text are bound once for a row. The terms of a script are a chain of literals; a Latin term's pattern, a
+    literal too, is tried only where the comment contains the term at all.
     """
-    group = script_group(c)
     terms = [(t, term_group(t), False) for t in V.TERMS_EXACT] + [(t, term_group(t), True) for t in V.TERMS_ANY_CASE]
 
-    def first(own: str) -> Column:
-        mine = [(t, g, i) for t, g, i in terms if g in (own, "neutral")]
-        # The terms are one constant for the planner, however many they are.
-        table = [{"t": t, "x": t.casefold() if i else t, "p": _needle(t, g, i) if g == "latin" else None, "i": i} for t, g, i in mine]
-        each = F.from_json(F.lit(json.dumps(table, ensure_ascii=False)), "array<struct<t:string,x:string,p:string,i:boolean>>")
-        # The text and its folded form are bound once; inside the filter they would be made again for every term.
-        # Only a term that the text contains has its pattern tried.
-        has = lambda s, e: F.contains(F.when(e["i"], s["f"]).otherwise(s["c"]), e["x"]) & (e["p"].isNull() | F.rlike(s["c"], e["p"]))
-        bound = F.transform(F.array(F.struct(c.alias("c"), fold(c).alias("f"))), lambda s: F.get(F.filter(each, lambda e: has(s, e)), 0)["t"])
-        return F.get(bound, 0)
+    def first(s: Column, own: str) -> Column:
+        found = []
+        for t, group, any_case in (x for x in terms if x[1] in (own, "neutral")):
+            has = F.contains(s["f"], F.lit(t.casefold())) if any_case else F.contains(s["c"], F.lit(t))
+            if group == "latin":
+                has = has & s["c"].rlike(_needle(t, group, any_case))
+            found.append(F.when(has, F.lit(t)))
+        return F.coalesce(*found, F.lit(None).cast("string"))
 
-    return reduce(lambda e, g: e.when(group == g, first(g)), GROUPS[1:-1], F.when(group == "latin", first("latin"))).otherwise(first("neutral"))
+    def by_group(s: Column) -> Column:
+        return reduce(lambda e, g: e.when(s["g"] == g, first(s, g)), GROUPS[1:-1], F.when(s["g"] == "latin", first(s, "latin"))).otherwise(first(s, "neutral"))
+
+    return bound(c, lambda x: bound(F.struct(x.alias("c"), fold(x).alias("f"), script_group(x).alias("g")), by_group))
 
 
 def length_reason(c: Column) -> Column:
@@ -85,7 +85,9 @@ def is_random_heap(c: Column) -> Column:
         mixed = t.rlike("[0-9]") & t.rlike("[A-Za-z]") & (F.length(t) >= V.RANDOM_MIXED)
         return t.rlike(f"^[0-9]{{{V.RANDOM_DIGITS},}}$") | mixed | letters
 
-    return ~c.rlike(HAN) & F.exists(F.regexp_extract_all(c, F.lit("[A-Za-z0-9]+"), F.lit(0)), random)
+    # No shorter token can be one, so that most texts are never cut into tokens.
+    token = f"[A-Za-z0-9]{{{min(V.RANDOM_DIGITS, V.RANDOM_LETTERS, V.RANDOM_MIXED)},}}"
+    return F.when(c.rlike(token) & ~c.rlike(HAN), F.exists(F.regexp_extract_all(c, F.lit(token), F.lit(0)), random)).otherwise(F.lit(False))
 
 
 def clean_word_reason(c: Column, words: list[str]) -> Column:
@@ -94,10 +96,14 @@ def clean_word_reason(c: Column, words: list[str]) -> Column:
 
 def deletion_reason(c: Column, clean_words: list[str] | None = None) -> Column:
     """The reason to delete a comment (already stripped, null as ''), or null. First match wins."""
-    return F.coalesce(
-        length_reason(c),
-        F.when(c.isin(*V.PLACEHOLDERS), "评论等于占位文案"),
-        clean_word_reason(c, clean_words or []),
-        F.concat(F.lit("评论包含固定删除词: "), fixed_term(c)),
-        F.when(is_random_heap(c), "评论为无中文随机英文/数字堆砌"),
-    )
+
+    def first(x: Column) -> Column:
+        return F.coalesce(
+            length_reason(x),
+            F.when(x.isin(*V.PLACEHOLDERS), "评论等于占位文案"),
+            clean_word_reason(x, clean_words or []),
+            F.concat(F.lit("评论包含固定删除词: "), fixed_term(x)),
+            F.when(is_random_heap(x), "评论为无中文随机英文/数字堆砌"),
+        )
+
+    return bound(c, first)
