@@ -124,6 +124,24 @@ def test_naming():
         naming.plan([Path("/w/Lamp_淘宝.csv")], x_data_type="评论", now=now)
 
 
+@pytest.mark.parametrize(
+    ("path", "source", "product"),
+    [
+        ("/w/ScreenBar/Amazon US/reviews.csv", "亚马逊美国评论数据", "ScreenBar"),
+        ("/w/Lamp/京东/20260701_京东_评论数据.xlsx", "京东评论数据", "Lamp"),
+        ("/w/x/乐天市场_Desk Light.csv", "乐天市场评论数据", "Desk Light"),
+        ("/w/Desk/merged/20260701-120000.csv", None, "Desk"),
+        ("/w/淘宝/抖音_Lamp 2.xlsx", "抖音评论数据", "Lamp"),
+        ("/w/case-1/ab Project/comments.csv", None, None),
+        ("/w/a/reddit-lamps-1abc2-json-primary.csv", "Reddit评论数据", None),
+        ("/w/a/小红书_【1】灯a:b.csv", "小红书评论数据", "灯a b"),
+    ],
+)
+def test_names_of_paths(path, source, product):
+    p = naming.plan([Path(path)], now=datetime(2026, 7, 28, 12))
+    assert (p.source, p.product) == (source, product)
+
+
 def test_products_from_tables(spark):
     t = spark.createDataFrame([("灯/泡", "2026-01-05 已购：架子"), ("灯/泡", None)], "`产品名` string, `评论日期与产品` string")
     assert naming.product_candidates_from_tables([t]) == ["架子", "灯 泡"]
