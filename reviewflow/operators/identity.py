@@ -107,30 +107,45 @@ def pseudonyms(c: Column, project: Project, platform: str, display: bool) -> Col
     return F.pandas_udf(run, "string")(display_value(c) if display else account_value(c))
 
 
-def choose_identity(rows: DataFrame, platform: str, headers: list[str]) -> tuple[str, bool] | None:
-    """(header, is display name) for a whole table: the first account header with any usable value, else the first display header.
+def choices(rows: DataFrame, platform: str, headers: list[str], sheet: list[str]) -> DataFrame:
+    """(sheet..., header, display) of every sheet: its first account header with any usable value, else its first display header.
 
-    One aggregate over the account headers; never a choice row by row.
+    One aggregate over the account headers; never a choice row by row. A sheet without either has a null header.
     """
     x = V.IDENTITIES[platform_of(platform)]
     accounts = [h for h in x["accounts"] if h in headers]
-    if accounts:
-        present = lambda h: (pystrip(F.col(f"`{h}`").cast("string")) != "") & (F.lower(pystrip(F.col(f"`{h}`").cast("string"))) != "none")
-        used = rows.agg(*(F.max(F.coalesce(present(h), F.lit(False))).alias(f"c{i}") for i, h in enumerate(accounts))).first()
-        for i, h in enumerate(accounts):
-            if used[i]:
-                return h, False
-    shown = [h for h in x["display"] if h in headers]
-    return (shown[0], True) if shown else None
-
-
-def identity_column(rows: DataFrame, platform: str | None, project: Project | None, headers: list[str]) -> Column:
-    """The pseudonym column of a table; a table with identity headers needs platform and project."""
+    shown = next((h for h in x["display"] if h in headers), None)
+
+    def usable(h: str) -> Column:
+        t = F.lower(pystrip(F.col(f"`{h}`").cast("string")))
+        return F.max(F.coalesce((t != "") & (t != "none"), F.lit(False)))
+
+    used = rows.groupBy(*sheet).agg(F.count(F.lit(1)), *(usable(h).alias(f"_c{i}") for i, h in enumerate(accounts)))
+    account = F.coalesce(*(F.when(F.col(f"_c{i}"), h) for i, h in enumerate(accounts)), F.lit(None).cast("string"))
+    header = F.coalesce(account, F.lit(shown).cast("string"))
+    return used.select(*sheet, header.alias("header"), (account.isNull() & header.isNotNull()).alias("display"))
+
+
+def choose_identity(rows: DataFrame, platform: str, headers: list[str]) -> tuple[str, bool] | None:
+    """(header, is display name) for a table that is one sheet."""
+    one = choices(rows, platform, headers, []).first()
+    return (one.header, one.display) if one is not None and one.header is not None else None
+
+
+def identity_column(rows: DataFrame, platform: str | None, project: Project | None, headers: list[str], sheet: list[str] | None = None) -> Column:
+    """The pseudonym column of a table, chosen sheet by sheet; a table with identity headers needs platform and project."""
     if platform is None:
         return F.lit(None).cast("string")
-    chosen = choose_identity(rows, platform, headers)
-    if chosen is None:
+    chosen: dict[tuple[str, bool], list[tuple]] = {}
+    for r in choices(rows, platform, headers, sheet or []).collect():  # one row for each sheet of a workbook
+        if r.header is not None:
+            chosen.setdefault((r.header, r.display), []).append(tuple(r[c] for c in sheet or []))
+    if not chosen:
         return F.lit(None).cast("string")
     if project is None:
         raise IdentityError("a table with identities needs a project")
-    return pseudonyms(F.col(f"`{chosen[0]}`"), project, platform, chosen[1])
+    made = {k: pseudonyms(F.col(f"`{k[0]}`"), project, platform, k[1]) for k in chosen}
+    if len(made) == 1:
+        return next(iter(made.values()))
+    own = lambda keys: F.struct(*sheet).isin(*(F.struct(*map(F.lit, k)) for k in keys))
+    return F.coalesce(*(F.when(own(keys), made[k]) for k, keys in chosen.items()))

@@ -90,6 +90,10 @@ def is_random_heap(c: Column) -> Column:
     return F.when(c.rlike(token) & ~c.rlike(HAN), F.exists(F.regexp_extract_all(c, F.lit(token), F.lit(0)), random)).otherwise(F.lit(False))
 
 
+def placeholder_reason(c: Column) -> Column:
+    return F.when(c.isin(*V.PLACEHOLDERS), "评论等于占位文案")
+
+
 def clean_word_reason(c: Column, words: list[str]) -> Column:
     return F.coalesce(*(F.when(F.contains(c, F.lit(w)), F.lit(f"评论包含清理词: {w}")) for w in words), F.lit(None).cast("string"))
 
@@ -100,7 +104,7 @@ def deletion_reason(c: Column, clean_words: list[str] | None = None) -> Column:
     def first(x: Column) -> Column:
         return F.coalesce(
             length_reason(x),
-            F.when(x.isin(*V.PLACEHOLDERS), "评论等于占位文案"),
+            placeholder_reason(x),
             clean_word_reason(x, clean_words or []),
             F.concat(F.lit("评论包含固定删除词: "), fixed_term(x)),
             F.when(is_random_heap(x), "评论为无中文随机英文/数字堆砌"),

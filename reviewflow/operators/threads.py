@@ -47,8 +47,12 @@ def level_summary(flat: DataFrame) -> DataFrame:
     return flat.groupBy("level").agg(F.count("*").alias("n"))
 
 
-def merged_roots(primary: DataFrame, fallback: DataFrame, key: str) -> DataFrame:
-    """Upsert by id: the primary's values where it has any, the fallback's elsewhere."""
+def merged_roots(primary: DataFrame, fallback: DataFrame, key: str, parent: str | None = None) -> DataFrame:
+    """Upsert by id: the primary's values where it has any, the fallback's elsewhere. A node whose parent is in neither becomes a root."""
     cols = [c for c in primary.columns if c != key]
     f = fallback.select(key, *(F.col(c).alias(f"_f_{c}") for c in cols))
-    return primary.join(f, key, "full").select(key, *(F.coalesce(c, f"_f_{c}").alias(c) for c in cols))
+    both = primary.join(f, key, "full").select(key, *(F.coalesce(c, f"_f_{c}").alias(c) for c in cols))
+    if parent is None:
+        return both
+    known = primary.select(F.col(key).alias("_p")).union(fallback.select(key)).distinct()
+    return both.join(known, F.col(parent) == F.col("_p"), "left").withColumn(parent, F.col("_p")).drop("_p")

@@ -46,8 +46,12 @@ def delete_length(spark: SparkSession, d: str) -> DataFrame:
 
 
 def delete_placeholder(spark: SparkSession, d: str) -> DataFrame:
-    r = _t(spark, d, "reviews")
-    return r.where(dedup.stripped_comment(F.col("评论内容")).isin(*rules.V.PLACEHOLDERS)).select("review_id")
+    """Every comment as it is and a placeholder with blanks around it in its place, chosen by its number; the first rule's reason decides."""
+    names = F.from_json(F.lit(json.dumps(rules.V.PLACEHOLDERS, ensure_ascii=False)), "array<string>")
+    placed = F.concat(F.lit(" "), F.element_at(names, (F.col("comment_id") % len(rules.V.PLACEHOLDERS) + 1).cast("int")), F.lit("\u3000"))
+    both = F.explode(F.array(F.struct(F.lit("own").alias("kind"), F.col("评论内容").alias("text")), F.struct(F.lit("placed").alias("kind"), placed.alias("text"))))
+    t = _threads(spark, d).select("comment_id", both.alias("x")).select("comment_id", "x.*")
+    return t.select("comment_id", "kind", rules.placeholder_reason(dedup.stripped_comment(F.col("text"))).alias("reason")).where("reason IS NOT NULL")
 
 
 def delete_clean_word(spark: SparkSession, d: str) -> DataFrame:
@@ -147,8 +151,11 @@ def likes_ranking(spark: SparkSession, d: str) -> DataFrame:
 
 
 def composite_attribute(spark: SparkSession, d: str) -> DataFrame:
-    r = _t(spark, d, "reviews")
-    return r.select("review_id", numbers.attribute(F.col("用户属性"), F.col("电商平台评分"), F.col("点赞数")).alias("attribute"))
+    """Gender and age as the attribute field has them, apart: each row has either, both or none."""
+    parts = F.split(F.regexp_replace(F.col("用户属性"), "[,，/|｜]", " "), " +", 2)
+    r = _t(spark, d, "reviews").select("review_id", "用户属性", F.get(parts, 0).alias("gender"), F.get(parts, 1).alias("age"))
+    direct = F.when(F.col("review_id") % 3 == 0, F.col("用户属性"))
+    return r.select("review_id", numbers.attribute(direct, F.col("gender"), F.col("age")).alias("attribute"))
 
 
 def product_fallback(spark: SparkSession, d: str) -> DataFrame:
@@ -194,11 +201,9 @@ def hash_display(spark: SparkSession, d: str) -> DataFrame:
 
 
 def identity_choice(spark: SparkSession, d: str) -> DataFrame:
-    """Which identity column each platform's table would use: account ids if any is usable, else display names."""
-    r = _t(spark, d, "reviews").select("platform", F.lit("  ").alias("author_channel_id"), F.col("哈希id").alias("authorChannelId"), F.col("产品名").alias("author"))
-    usable = lambda c: F.max(F.coalesce(text.nonblank(F.col(c)).isNotNull() & (F.lower(text.nonblank(F.col(c))) != "none"), F.lit(False)))
-    g = r.groupBy("platform").agg(usable("author_channel_id").alias("a"), usable("authorChannelId").alias("b"))
-    return g.select("platform", F.when(F.col("a"), "author_channel_id").when(F.col("b"), "authorChannelId").otherwise("author").alias("chosen"))
+    """Which identity column each file's sheet would use: account ids if any is usable, else display names."""
+    r = _t(spark, d, "reviews").select("file_id", F.lit("  ").alias("author_channel_id"), F.when(F.col("platform") != "jd", F.col("哈希id")).alias("authorChannelId"), F.col("产品名").alias("author"))
+    return identity.choices(r, "youtube", ["author_channel_id", "authorChannelId", "author"], ["file_id"]).withColumnRenamed("header", "chosen")
 
 
 def _standard(spark: SparkSession, d: str) -> DataFrame:
@@ -219,10 +224,29 @@ def audit_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def audit_mapping(spark: SparkSession, d: str) -> DataFrame:
-    """A standardized table in which every seventh comment was changed afterwards."""
-    changed = _standard(spark, d).withColumn("评论内容", F.when(F.col("comment_id") % 7 == 0, F.concat(F.lit("x"), F.coalesce("评论内容", F.lit("")))).otherwise(F.col("评论内容")))
+    """A standardized table in which four fields were changed afterwards, each in other rows."""
+    n = F.col("comment_id")
+    x = lambda c: F.concat(F.lit("x"), F.coalesce(F.col(f"`{c}`"), F.lit("")))
+    changes = {
+        "评论内容": F.when(n % 7 == 0, x("评论内容")), "评论日期": F.when(n % 11 == 0, F.lit("1999-12-31")), "点赞数": F.when(n % 13 == 0, F.lit("0.50")), "一级评论": F.when(n % 17 == 0, x("一级评论")),
+        "二级评论": F.when(n % 19 == 0, F.lit(" ")),
+    }
+    changed = _standard(spark, d).withColumns({c: F.coalesce(v, F.col(f"`{c}`")) for c, v in changes.items()})
     src = _t(spark, d, "thread_comments").select("comment_id", *headers_of_threads())
-    return audit.mapping_mismatches(changed.withColumn("产品名", F.lit(None).cast("string")), src, ["comment_id"], REF)
+    return audit.mapping_mismatches(changed, src, ["comment_id"], REF)
+
+
+def audit_sheets(spark: SparkSession, d: str) -> DataFrame:
+    """The counts of every sheet: all threads of a file against their source, of which every fifth file lost its last rows, and in
+    which every third file has changed likes."""
+    t = _t(spark, d, "thread_comments").select(F.col("file_id").cast("string").alias("_sheet"), F.col("comment_id").alias("_row"), *headers_of_threads())
+    std = headers.standardized(t, REF, ["_sheet", "_row"])
+    sheet = F.col("_sheet").cast("long")
+    likes = F.when((sheet % 3 == 0) & (F.col("_row") % 2 == 0), F.lit("-1")).when(F.col("_row") % 10 == 0, F.lit("  ")).otherwise(F.col("点赞数"))
+    hashed = F.when(F.col("_row") % 4 == 0, F.lit("no hash")).when(F.col("_row") % 4 == 1, F.sha2("评论内容", 256))
+    std = std.withColumns({"点赞数": likes, "哈希ID": hashed}).where(~((sheet % 5 == 0) & (F.col("_row") % 6 == 0)))
+    counts, _ = audit.sheet_counts(std, t, "_sheet", "_row", REF)
+    return counts
 
 
 def multiset_diff(spark: SparkSession, d: str) -> DataFrame:
@@ -278,7 +302,11 @@ def x_level_summary(spark: SparkSession, d: str) -> DataFrame:
 
 
 def x_links(spark: SparkSession, d: str) -> DataFrame:
-    return _t(spark, d, "documents").select("doc_id", text.link_list(F.col("text")).alias("links")).where("links <> ''")
+    """Every text with links put into it, one of them twice and one in brackets."""
+    n = F.col("doc_id").cast("string")
+    a, b = F.concat(F.lit("https://example.org/d/"), n), F.concat(F.lit("http://example.net/q?x="), n)
+    put = F.concat_ws(" ", F.col("text"), F.concat(F.lit("["), n, F.lit("]("), a, F.lit(")")), b, F.when(F.col("doc_id") % 2 == 0, a))
+    return _t(spark, d, "documents").select("doc_id", text.link_list(put).alias("links")).where("links <> ''")
 
 
 def x_id_join(spark: SparkSession, d: str) -> DataFrame:
@@ -288,11 +316,14 @@ def x_id_join(spark: SparkSession, d: str) -> DataFrame:
 
 
 def x_merge_roots(spark: SparkSession, d: str) -> DataFrame:
-    r = _t(spark, d, "reviews").groupBy("file_id", "row_number").agg(F.max("产品名").alias("产品名"), F.max("电商平台评分").alias("电商平台评分"), F.max("review_id").alias("n"))
+    """First and last delivery of each root: the first's values where it has any, the last's elsewhere, under the parent that is there."""
+    values = F.struct("review_id", F.col("产品名").alias("product"), F.col("电商平台评分").alias("rating"))
+    r = _t(spark, d, "reviews").groupBy("file_id", "row_number").agg(F.min(values).alias("a"), F.max(values).alias("b"))
     key = F.concat_ws("-", F.col("file_id").cast("string"), F.col("row_number").cast("string")).alias("key")
-    primary = r.where("n % 3 <> 0").select(key, F.col("产品名").alias("product"), F.col("电商平台评分").alias("rating"))
-    fallback = r.where("n % 2 = 0").select(key, F.coalesce("产品名", F.lit("?")).alias("product"), F.coalesce("电商平台评分", F.lit("0")).alias("rating"))
-    return threads.merged_roots(primary, fallback, "key")
+    parent = F.concat_ws("-", F.col("file_id").cast("string"), (F.col("row_number") - 1).cast("string")).alias("parent")
+    primary = r.select(key, parent, "a.product", "a.rating")
+    fallback = r.select(key, parent, F.coalesce("b.product", F.lit("?")).alias("product"), F.coalesce("b.rating", F.lit("0")).alias("rating"))
+    return threads.merged_roots(primary, fallback, "key", "parent")
 
 
 QUERIES = {
@@ -302,7 +333,7 @@ QUERIES = {
         dedup_max_likes, dedup_events, subcomment_clear, strip_urls, strip_reply_prefix, keep_keywords, merge_union_order, inventory_counts,
         unix_to_beijing, relative_dates, platform_dates, date_product_split, normalize_rating, normalize_likes, likes_ranking, composite_attribute,
         product_fallback, join_trimmed, rakuten_ops, amazon_ops, hash_account, hash_display, identity_choice, standardize_11, audit_counts,
-        audit_mapping, multiset_diff, sequence_diff, duplicate_summary, duplicate_groups, row_hash, end_to_end_clean,
+        audit_mapping, audit_sheets, multiset_diff, sequence_diff, duplicate_summary, duplicate_groups, row_hash, end_to_end_clean,
         x_tree_flatten, x_level_summary, x_links, x_id_join, x_merge_roots,
     )
 }

@@ -177,6 +177,15 @@ _STD = f"""{_dated('thread_comments', '*')}, std AS (SELECT comment_id,
  CASE WHEN regexp_matches(s, '^[+-]?[0-9]+(\\.[0-9]+)?$') OR regexp_matches({_digits('raw')}, '[0-9]{{1,2}}:[0-9]{{1,2}}') THEN {_PLATFORM_DATE} ELSE raw END AS day,
  "评论内容", {_likes_text('"点赞数"')} AS likes, "子评论数/追评数", "一级评论", "二级评论", "三级评论", file_id, sheet, row_number FROM d)"""
 
+
+
+def _unequal(a: str, b: str) -> str:
+    """Blank equals blank, numbers are equal by value, anything else by text."""
+    num = "'^[+-]?[0-9]+(\\.[0-9]+)?$'"
+    value = f"CASE WHEN regexp_matches({a}, {num}) AND regexp_matches({b}, {num}) THEN CAST({a} AS DECIMAL(38, 10)) <> CAST({b} AS DECIMAL(38, 10)) ELSE {a} IS DISTINCT FROM {b} END"
+    return f"CASE WHEN {_nonblank(a)} IS NULL THEN {_nonblank(b)} IS NOT NULL ELSE {value} END"
+
+
 _TREE = "SELECT o_orderkey AS id, CASE WHEN o_orderkey > 1 THEN o_orderkey // 2 END AS parent FROM orders"
 _FLAT = f"""WITH RECURSIVE n AS ({_TREE}), w AS (
  SELECT id AS node, id AS root, 0 AS level FROM n WHERE NOT EXISTS (SELECT 1 FROM n p WHERE p.id = n.parent)
@@ -186,7 +195,9 @@ ORACLES = {
     "script_group": f"WITH {_TEXT} SELECT comment_id, {_SCRIPT} AS script FROM t",
     "word_count": f"WITH {_TEXT} SELECT comment_id, {_WORDS} AS words FROM t",
     "delete_length": f"{_BASE} SELECT comment_id, {_LENGTH} AS reason FROM b",
-    "delete_placeholder": f"SELECT review_id FROM reviews WHERE {_strip('\"评论内容\"')} IN ({', '.join(map(_q, V.PLACEHOLDERS))})",
+    "delete_placeholder": f"""WITH t AS (SELECT comment_id, 'own' AS kind, "评论内容" AS text FROM thread_comments
+ UNION ALL SELECT comment_id, 'placed', ' ' || list_extract([{', '.join(map(_q, V.PLACEHOLDERS))}], CAST(comment_id % {len(V.PLACEHOLDERS)} AS INTEGER) + 1) || chr(12288) FROM thread_comments)
+ SELECT comment_id, kind, '评论等于占位文案' AS reason FROM t WHERE {_strip('text')} IN ({', '.join(map(_q, V.PLACEHOLDERS))})""",
     "delete_clean_word": f"WITH {_TEXT} SELECT comment_id, {_CLEAN} AS reason FROM t WHERE {_CLEAN} IS NOT NULL",
     "delete_fixed_terms": f"""WITH t AS (SELECT comment_id, coalesce({_strip('"评论内容"')}, '') || ' ' || list_extract([{', '.join(map(_q, (*V.TERMS_EXACT, *V.TERMS_ANY_CASE)))}], CAST(comment_id % {len(V.TERMS_EXACT) + len(V.TERMS_ANY_CASE)} AS INTEGER) + 1) AS c FROM thread_comments),
  b AS (SELECT *, {_SCRIPT} AS script FROM t), f AS (SELECT comment_id, {_term_case()} AS term FROM b) SELECT * FROM f WHERE term IS NOT NULL""",
@@ -213,7 +224,10 @@ ORACLES = {
  SELECT review_id, CASE WHEN t = '' THEN NULL WHEN g <> '' AND try_cast(g AS DECIMAL(28,10)) BETWEEN 1 AND 5 THEN CASE WHEN contains(g, '.') THEN rtrim(rtrim(g, '0'), '.') ELSE g END ELSE v END AS rating FROM x""",
     "normalize_likes": f"SELECT review_id, {_likes_text('\"点赞数\"')} AS likes FROM reviews",
     "likes_ranking": f"SELECT review_id, CAST({_LIKES} AS DOUBLE) AS likes FROM reviews",
-    "composite_attribute": f"""SELECT review_id, coalesce({_nonblank('"用户属性"')}, {_nonblank_join("' '", '"电商平台评分"', '"点赞数"')}) AS attribute FROM reviews""",
+    "composite_attribute": f"""WITH x AS (SELECT review_id, "用户属性" AS a, regexp_replace("用户属性", '[,，/|｜]', ' ', 'g') AS p FROM reviews),
+ y AS (SELECT review_id, CASE WHEN review_id % 3 = 0 THEN a END AS direct, CASE WHEN contains(p, ' ') THEN regexp_extract(p, '(?s)^(.*?) +(.*)$', 1) ELSE p END AS gender,
+ CASE WHEN contains(p, ' ') THEN regexp_extract(p, '(?s)^(.*?) +(.*)$', 2) END AS age FROM x)
+ SELECT review_id, coalesce({_nonblank('direct')}, {_nonblank_join("' '", 'gender', 'age')}) AS attribute FROM y""",
     "product_fallback": f"""SELECT review_id, coalesce({_nonblank('"产品名"')}, '未命名') AS product FROM reviews""",
     "join_trimmed": f"""SELECT comment_id, {_nonblank_join('chr(10) || chr(10)', '"一级评论"', '"二级评论"', '"三级评论"')} AS joined FROM thread_comments""",
     "rakuten_ops": f"""WITH p AS (SELECT record_id, {_J.format('レビュー投稿日')} AS a, {_J.format('参考になった数')} AS b, {_J.format('レビュアー属性')} AS k, {_J.format('レビュー投稿者')} AS n FROM raw_exports),
@@ -231,11 +245,17 @@ ORACLES = {
  {_nonblank_join('chr(10) || chr(10)', 'h', 'c')} AS body FROM t""",
     "hash_account": f"SELECT c_custkey, {_hmac('CAST(c_custkey AS VARCHAR)', 'youtube', False)} AS hash FROM customer",
     "hash_display": f"SELECT c_custkey, {_hmac('c_name', 'bilibili', True)} AS hash FROM customer",
-    "identity_choice": f"""SELECT platform, CASE WHEN coalesce(bool_or(lower({_nonblank('"哈希id"')}) <> 'none'), false) THEN 'authorChannelId' ELSE 'author' END AS chosen FROM reviews GROUP BY platform""",
+    "identity_choice": f"""WITH g AS (SELECT file_id, coalesce(bool_or(platform <> 'jd' AND lower({_nonblank('"哈希id"')}) <> 'none'), false) AS used FROM reviews GROUP BY file_id)
+ SELECT file_id, CASE WHEN used THEN 'authorChannelId' ELSE 'author' END AS chosen, NOT used AS display FROM g""",
     "standardize_11": f"""WITH {_STD} SELECT comment_id, day AS "评论日期", "评论内容", '未命名' AS "产品名", CAST(NULL AS VARCHAR) AS "电商平台评分", CAST(NULL AS VARCHAR) AS "用户属性", CAST(NULL AS VARCHAR) AS hash_id, likes AS "点赞数", "子评论数/追评数", "一级评论", "二级评论", "三级评论" FROM std""",
     "audit_counts": f"""SELECT count(*) AS n_rows, count(*) FILTER ({_nonblank('"哈希id"')} IS NOT NULL AND NOT regexp_matches("哈希id", '^[0-9a-f]{{64}}$')) AS bad_hash, count(*) FILTER ({_nonblank('"点赞数"')} IS NULL) AS blank_likes FROM reviews""",
-    "audit_mapping": "SELECT h AS field, CASE WHEN h = '评论内容' THEN (SELECT count(*) FROM thread_comments WHERE comment_id % 7 = 0) ELSE 0 END AS mismatches FROM (SELECT unnest(["
-    + ", ".join(_q(h) for h in V.ALIASES if h != "哈希ID") + "]) AS h)",
+    "audit_mapping": f"""WITH {_STD}, c AS (SELECT *, CASE WHEN comment_id % 7 = 0 THEN 'x' || coalesce("评论内容", '') ELSE "评论内容" END AS n_text, CASE WHEN comment_id % 11 = 0 THEN '1999-12-31' ELSE day END AS n_day,
+ CASE WHEN comment_id % 13 = 0 THEN '0.50' ELSE likes END AS n_likes, CASE WHEN comment_id % 17 = 0 THEN 'x' || coalesce("一级评论", '') ELSE "一级评论" END AS n_first, CASE WHEN comment_id % 19 = 0 THEN ' ' ELSE "二级评论" END AS n_second FROM std)
+ SELECT h AS field, CASE h {' '.join(f"WHEN '{h}' THEN (SELECT count(*) FROM c WHERE {_unequal(a, b)})" for h, a, b in (('评论内容', '"评论内容"', 'n_text'), ('评论日期', 'day', 'n_day'), ('点赞数', 'likes', 'n_likes'), ('一级评论', '"一级评论"', 'n_first'), ('二级评论', '"二级评论"', 'n_second')))} ELSE 0 END AS mismatches
+ FROM (SELECT unnest([{', '.join(_q(h) for h in V.ALIASES if h != '哈希ID')}]) AS h)""",
+    "audit_sheets": f"""WITH {_STD}, c AS (SELECT *, CASE WHEN file_id % 3 = 0 AND comment_id % 2 = 0 THEN '-1' WHEN comment_id % 10 = 0 THEN '  ' ELSE likes END AS n_likes, NOT (file_id % 5 = 0 AND comment_id % 6 = 0) AS there FROM std)
+ SELECT CAST(file_id AS VARCHAR) AS sheet, count(*) FILTER (there) AS n_rows, count(*) AS n_source, count(*) FILTER (there AND comment_id % 4 = 0) AS bad_hash,
+ count(*) FILTER (there AND {_nonblank('n_likes')} IS NULL) AS blank_likes, count(*) FILTER (there AND {_unequal('likes', 'n_likes')}) AS mismatches FROM c GROUP BY file_id""",
     "multiset_diff": """WITH l AS (SELECT "评论内容" AS comment FROM thread_comments WHERE sheet = '总表'), r AS (SELECT "评论内容" AS comment FROM thread_comments WHERE sheet <> '总表')
  SELECT comment, 'left' AS side FROM (SELECT * FROM l EXCEPT ALL SELECT * FROM r) UNION ALL SELECT comment, 'right' FROM (SELECT * FROM r EXCEPT ALL SELECT * FROM l)""",
     "sequence_diff": """WITH g AS (SELECT file_id || '-' || row_number AS row, min("评论内容") AS a, min("一级评论") AS b FROM thread_comments GROUP BY file_id, row_number)
@@ -250,10 +270,12 @@ ORACLES = {
  FROM std s WHERE s.comment_id IN (SELECT comment_id FROM k)""",
     "x_tree_flatten": f"{_FLAT} SELECT node, root, level, level > 0 AS is_reply FROM w",
     "x_level_summary": f"{_FLAT} SELECT level, count(*) AS n FROM w GROUP BY level",
-    "x_links": r"""WITH l AS (SELECT doc_id, regexp_extract_all(text, 'https?://[^\x09-\x0d\x20)\]<>"'']+') AS a FROM documents)
+    "x_links": r"""WITH t AS (SELECT doc_id, concat_ws(' ', text, '[' || doc_id || '](https://example.org/d/' || doc_id || ')', 'http://example.net/q?x=' || doc_id, CASE WHEN doc_id % 2 = 0 THEN 'https://example.org/d/' || doc_id END) AS text FROM documents),
+ l AS (SELECT doc_id, regexp_extract_all(text, 'https?://[^\x09-\x0d\x20)\]<>"'']+') AS a FROM t)
  SELECT doc_id, array_to_string(list_filter(a, lambda x, i: list_position(a, x) = i), '; ') AS links FROM l WHERE len(a) > 0""",
     "x_id_join": "SELECT comment_id, namespace, file_name FROM thread_comments JOIN export_files USING (file_id)",
-    "x_merge_roots": """WITH r AS (SELECT file_id || '-' || row_number AS key, max("产品名") AS product, max("电商平台评分") AS rating, max(review_id) AS n FROM reviews GROUP BY file_id, row_number)
- SELECT key, CASE WHEN n % 3 <> 0 THEN coalesce(product, CASE WHEN n % 2 = 0 THEN '?' END) ELSE coalesce(product, '?') END AS product,
- CASE WHEN n % 3 <> 0 THEN coalesce(rating, CASE WHEN n % 2 = 0 THEN '0' END) ELSE coalesce(rating, '0') END AS rating FROM r WHERE n % 3 <> 0 OR n % 2 = 0""",
+    "x_merge_roots": """WITH v AS (SELECT file_id, row_number, review_id, {'p': "产品名", 'r': "电商平台评分"} AS v FROM reviews),
+ r AS (SELECT file_id, row_number, arg_min(v, review_id) AS a, arg_max(v, review_id) AS b FROM v GROUP BY file_id, row_number)
+ SELECT r.file_id || '-' || r.row_number AS key, CASE WHEN p.file_id IS NOT NULL THEN r.file_id || '-' || (r.row_number - 1) END AS parent,
+ coalesce(r.a.p, r.b.p, '?') AS product, coalesce(r.a.r, r.b.r, '0') AS rating FROM r LEFT JOIN r p ON p.file_id = r.file_id AND p.row_number = r.row_number - 1""",
 }

@@ -76,14 +76,43 @@ def write_csv(df: DataFrame, path: Path, order: list[str], columns: list[str]) -
             out.writerow(["" if v is None else v for v in r])
 
 
-def write_xlsx(sheets: list[tuple[str, DataFrame]], path: Path, order: list[str], columns: list[str]) -> None:
-    def rows(df: DataFrame) -> Iterator[list]:
+def write_xlsx(sheets: list[tuple[str, DataFrame, list[str]]], path: Path, order: list[str]) -> None:
+    """(title, rows, columns) of every sheet, each with its own columns."""
+
+    def rows(df: DataFrame, columns: list[str]) -> Iterator[list]:
         yield columns
         for r in df.orderBy(*order).select(*(f"`{c}`" for c in columns)).toLocalIterator():
             yield list(r)
 
     with staged(path) as part:
-        xlsx_xml.write(part, [(title, rows(df)) for title, df in sheets])
+        xlsx_xml.write(part, [(title, rows(df, columns)) for title, df, columns in sheets])
+
+
+def write_comparison(report: dict, differences: dict[str, DataFrame], folder: Path) -> dict[str, str]:
+    """The bundle of a comparison: the report as JSON and as a workbook of five sheets, and each side's excess rows as CSV."""
+    names = {"summary_path": "comparison-summary.json", "only_left_csv": "only-in-left.csv", "only_right_csv": "only-in-right.csv", "report_xlsx": "comparison-report.xlsx"}
+    paths = {k: Path(folder) / n for k, n in names.items()}
+    left, right = report["left_label"], report["right_label"]
+    lead = ["source_row", "row_hash"]
+    excess = {side: [[r[c] for c in [*lead, *report["header"]]] for r in report[key]] for side, key in (("left", "samples"), ("right", "samples_right"))}
+    pair = lambda name, key, notes="": [name, report[f"{key}_left"], report[f"{key}_right"], notes]
+    sheets = [
+        ("Summary", [
+            ["Metric", left, right, "Notes"], pair("Sheet name", "sheet"), pair("Data rows", "rows"), pair("Columns", "columns"), ["Headers match", str(report["headers_equal"]), str(report["headers_equal"]), ""],
+            pair("Whole-row only count", "only", "Compared as full row values"), pair("Comment-only count", "comments_only", "Compared by configured comment column"),
+            ["Sequence mismatch count", report["sequence_mismatches"], report["sequence_mismatches"], "Rows differ at same row number"],
+            ["Duplicate comment extra rows", *(report["duplicates"][side]["duplicate_rows"] for side in ("left", "right")), "Configured comment-column duplicates after cleaning"],
+        ]),
+        ("Only in Left", [[*lead, *report["header"]], *excess["left"]]), ("Only in Right", [[*lead, *report["header"]], *excess["right"]]),
+        ("Comment Diff", [["side", "comment"], *([left, c] for c in report["comment_samples_left"]), *([right, c] for c in report["comment_samples_right"])]),
+        ("Sequence Diff", [["row_number", left, right], *([r["row_number"], r["left"], r["right"]] for r in report["sequence_samples"])]),
+    ]
+    write_json(report, paths["summary_path"])
+    for side in ("left", "right"):
+        write_csv(differences[side], paths[f"only_{side}_csv"], ["source_row"], differences[side].columns)
+    with staged(paths["report_xlsx"]) as part:
+        xlsx_xml.write(part, sheets)
+    return {k: str(p) for k, p in paths.items()}
 
 
 def write_event_log(events: DataFrame, path: Path) -> None:

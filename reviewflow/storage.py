@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -14,11 +17,17 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, which all executors share.
 
-    Only where the setting is absent (a local session, as in tests) a folder of this machine is made and remembered.
+    Only where the setting is absent in a local session, as in tests, a folder of this machine is made; it goes with the process.
+    On a cluster a folder of one machine would be another one on every executor, so the setting must be there.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="reviewflow-")
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
+        folder = tempfile.mkdtemp(prefix="reviewflow-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        found = "file://" + folder
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 

@@ -153,3 +153,59 @@ def test_preprocess(spark, tmp_path):
     rows = pipeline.preprocess(spark, [a, b], "rakuten").orderBy(*pipeline.ORDER).collect()
     assert [tuple(r)[5:] for r in rows] == [("2026-07-08", "良い\n\n本文", "5", "男性 50代", "3", None), ("2026-07-09", "b", "4", "女性", "", "花子")]
     assert len(tabular.tables(tabular.read_raw(spark, [a]))) == 1
+
+
+def two_sheets(path: Path, changed: bool = False) -> Path:
+    a = [["评论", "评论时间", "Digg Count"], ["灯很好用真的", "2026/07/01 08:00:00", "3"], ["第二条评论内容", "2026/07/02 09:00:00", "x" if changed else "7"]]
+    b = [["content", "timestamp", "like_count", "username"], ["hello there lamp", "1751328000", "", "u1"]]
+    xlsx_xml.write(path, [("一", a), ("二", b)])
+    return path
+
+
+def test_audit_of_files_with_differing_sheets(spark, tmp_path):
+    src, std, report = two_sheets(tmp_path / "in[1] a.xlsx"), tmp_path / "std.xlsx", tmp_path / "audit.json"
+    assert cli.main(["standardize", str(src), "--output", str(std), "--reference-date", "2026-07-28"]) == 0
+    done = json.loads(std.with_suffix(".summary.json").read_text())
+    assert [(s["sheet"], s["rows"]) for s in done["sheets"]] == [("一", 2), ("二", 1)] and done["mappings"][1]["dropped_headers"] == ["username"]
+    assert cli.main(["audit", str(std), "--source", str(src), "--output", str(report)]) == 0
+    found = json.loads(report.read_text())
+    assert [(s["sheet_name"], s["standardized_data_rows"], s["source_data_rows"], s["source_mapping_checked"]) for s in found["sheets"]] == [("一", 2, 2, True), ("二", 1, 1, True)]
+    wrong = two_sheets(tmp_path / "wrong.xlsx", changed=True)
+    assert cli.main(["audit", str(std), "--source", str(wrong), "--output", str(tmp_path / "b.json")]) == 2
+    assert json.loads((tmp_path / "b.json").read_text())["issues"] == [{"code": "mapped_value_mismatch", "sheet_name": "一"}]
+    other = tmp_path / "other.xlsx"
+    xlsx_xml.write(other, [("二", [["content", "timestamp"]]), ("三", [["x"]])])
+    assert cli.main(["audit", str(std), "--source", str(other), "--output", str(tmp_path / "c.json")]) == 2
+    codes = {(i["code"], i["sheet_name"]) for i in json.loads((tmp_path / "c.json").read_text())["issues"]}
+    assert codes == {("worksheet_name_or_order_mismatch", None), ("source_worksheet_missing", "一"), ("data_row_count_mismatch", "二")}
+
+
+def test_audit_of_a_csv_with_a_changed_cell(spark, tmp_path):
+    src, std = put(tmp_path / "x.csv", "评论,评论时间,Digg Count\n灯很好用真的,2026/07/01 08:00:00,3\n"), tmp_path / "std.csv"
+    assert cli.main(["standardize", str(src), "--output", str(std), "--reference-date", "2026-07-28"]) == 0
+    std.rename(tmp_path / "x2.csv")
+    (tmp_path / "d").mkdir()
+    text = (tmp_path / "x2.csv").read_text("utf-8-sig")
+    same, changed = put(tmp_path / "d" / "x.csv", text), put(tmp_path / "d" / "y.csv", text.replace("真的", "假的"))
+    assert cli.main(["audit", str(same), "--source", str(src), "--output", str(tmp_path / "1.json")]) == 0
+    changed.rename(same)
+    assert cli.main(["audit", str(same), "--source", str(src), "--output", str(tmp_path / "2.json")]) == 2
+
+
+def test_comparison_bundle(spark, tmp_path):
+    a, b = put(tmp_path / "a.csv", "n,d,评论内容\n1,x,t1\n1,x,t1\n2,y,t2\n"), put(tmp_path / "b.csv", "n,d,评论内容\n1,x,t1\n3,y,t2\n")
+    out = tmp_path / "out"
+    assert cli.main(["compare", str(a), "--right", str(b), "--output", str(tmp_path / "cmp.json"), "--output-dir", str(out)]) == 0
+    found = json.loads((out / "comparison-summary.json").read_text())
+    assert (found["only_left"], found["only_right"], found["comments_only_left"], found["comments_only_right"], found["sequence_mismatches"]) == (2, 1, 1, 0, 1)
+    rows = list(csv_exact.rows((out / "only-in-left.csv").read_bytes()))
+    assert rows[0] == ["source_row", "row_hash", "n", "d", "评论内容"] and [r[0] for r in rows[1:]] == ["2", "4"]
+    assert [t for t, _ in xlsx_xml.sheets((out / "comparison-report.xlsx").read_bytes())] == ["Summary", "Only in Left", "Only in Right", "Comment Diff", "Sequence Diff"]
+
+
+def test_product_from_files(spark, tmp_path, capsys):
+    (tmp_path / "merged").mkdir()
+    src = put(tmp_path / "merged" / "20260701.csv", "商品名称,评论内容\n灯,a\n灯,b\n")
+    assert cli.main(["name", str(src), "--data-source", "京东评论数据"]) == 0
+    shown = json.loads(capsys.readouterr().out)
+    assert shown["products"] and shown["source"] == "京东评论数据"
