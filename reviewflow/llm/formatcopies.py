@@ -1,7 +1,7 @@
 """Duplicates hidden by formatting differences -> one record for each group and its number of copies.
 
-Method: the characters of both fields stream through a skip-and-fold lookup table into rolling polynomial hashes; no
-canonical string is made. Rows whose hashes collide are verified against the first row of their group with a two-pointer
+Method: the bytes of both fields stream through a skip-and-fold lookup table into rolling polynomial hashes: a character that is
+skipped adds nothing and moves no power, so no canonical string is made. Rows whose hashes collide are verified against the first row of their group with a two-pointer
 comparison that skips and folds while it walks both texts.
 
 Two rows are copies if the unordered pair of the letters of both fields is equal and the two have at least ``least``
@@ -23,28 +23,37 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewflow.llm.text import letter_table, letters
+from reviewflow.llm.text import folded_stream, letter_table, letters
 from reviewflow.storage import ship_package, written
 
+#: Rows of a group that are verified together.
+SLICE = 50_000
 #: Two primes under 2^31 and a base for each: a character below 2^21 times a power stays below 2^52.
 PRIMES = ((2147483647, 911382323), (2147483629, 972663749))
 
 
-def rolling_hashes(points: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """A 62-bit polynomial hash of each text; the empty text has 0."""
+def stream_hashes(folded: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(62-bit polynomial hash, number of letters) of each text of a folded stream; a text without letters has 0 and 0."""
     length = np.diff(offsets)
-    out = np.zeros(len(length), dtype=np.int64)
-    if not len(points):
-        return out
-    place = np.arange(len(points)) - np.repeat(offsets[:-1], length)
+    out, size = np.zeros(len(length), dtype=np.int64), np.zeros(len(length), dtype=np.int64)
     some = length > 0
+    if not some.any():
+        return out, size
+    starts = offsets[:-1][some]
+    rank = np.concatenate([[0], np.cumsum(folded != 0)])
+    size[some] = rank[offsets[1:][some]] - rank[starts]
+    place = rank[:-1] - np.repeat(rank[starts], length[some])
     for prime, base in PRIMES:
-        powers = _powers(int(length.max()), prime, base)
-        terms = (points.astype(np.uint64) + 1) * powers[place] % prime
+        powers = _powers(int(size.max()) + 1, prime, base)
+        terms = np.where(folded != 0, (folded.astype(np.uint64) + 1) * powers[place] % prime, 0)
         # Sums of fewer than 2^32 terms below 2^31 fit.
-        sums = np.add.reduceat(terms, offsets[:-1][some]) % prime
+        sums = np.add.reduceat(terms, starts) % prime
         out[some] = (out[some] << 31) | sums.astype(np.int64)
-    return out
+    return out, size
+
+
+def rolling_hashes(folded: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    return stream_hashes(folded, offsets)[0]
 
 
 def _powers(n: int, prime: int, base: int) -> np.ndarray:
@@ -84,13 +93,11 @@ def _same_row(x: tuple, y: tuple) -> bool:
 def _hash_batches(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n = b.num_rows
-            points, offsets = letters(b.column(1).to_pylist() + b.column(2).to_pylist())
-            h, size = rolling_hashes(points, offsets), np.diff(offsets)
-            one, two = h[:n], h[n:]
-            enough = size[:n] + size[n:] >= least
+            (one, size_one), (two, size_two) = (stream_hashes(*folded_stream(b.column(k))) for k in (1, 2))
+            size = size_one + size_two
+            enough = size >= least
             # The pair is unordered: the smaller hash first. The number of letters belongs to the key too.
-            cols = [b.column(0), pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two)), pa.array(size[:n] + size[n:])]
+            cols = [b.column(0), pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two)), pa.array(size)]
             yield pa.RecordBatch.from_arrays(cols, names=["id", "k1", "k2", "n"]).filter(pa.array(enough))
 
     return run
@@ -111,11 +118,15 @@ def format_copies(rows: DataFrame, row_id: str, field_one: str, field_two: str,
     key = ["k1", "k2", "n"]
     # Partial minima before the shuffle: a hot group costs one row for each task.
     groups = keys.groupBy(*key).agg(F.min("id").alias("first_id"), F.count("*").alias("rows")).where("rows > 1")
-    candidates = keys.join(groups, key).where("id != first_id").select("first_id", F.col("id").alias("copy_id"))
+    # The rows of a hot group are verified in slices: its first row's text goes to each of them.
+    slices = F.ceil(F.col("rows") / SLICE).cast("int")
+    found = keys.join(groups.withColumn("slices", slices), key).where("id != first_id")
+    candidates = found.select("first_id", F.col("id").alias("copy_id"), F.pmod(F.xxhash64("id"), F.col("slices")).cast("int").alias("slice"))
     texts = named.select("id", "one", "two")
-    first = texts.select(F.col("id").alias("first_id"), F.col("one").alias("a1"), F.col("two").alias("a2"))
+    of_first = groups.select(F.col("first_id").alias("id"), F.explode(F.sequence(F.lit(0), slices - 1)).alias("slice"))
+    first = texts.join(of_first, "id").select(F.col("id").alias("first_id"), "slice", F.col("one").alias("a1"), F.col("two").alias("a2"))
     copy = texts.select(F.col("id").alias("copy_id"), F.col("one").alias("b1"), F.col("two").alias("b2"))
-    both = candidates.join(copy, "copy_id").join(first, "first_id").select("first_id", "copy_id", "a1", "a2", "b1", "b2")
+    both = candidates.join(copy, "copy_id").join(first, ["first_id", "slice"]).select("first_id", "copy_id", "a1", "a2", "b1", "b2")
     checked = written(both.mapInArrow(_verify_batches, "first_id long, copy_id long, same boolean"), "format-checked")
     return checked.where("same").select("first_id", "copy_id").unionByName(_told_apart(checked, texts))
 

@@ -178,3 +178,27 @@ def test_same_look_pairs(spark):
     assert {tuple(r) for r in lookalike.same_look_pairs(df, "id", "text").collect()} == {(1, 2), (1, 3), (1, 4), (2, 4), (3, 4), (9, 10)}
     assert lookalike.same_look_pairs(df.limit(0), "id", "text").count() == 0
     assert {r.id: r.form for r in lookalike.consistent_texts(df, "id", "text").collect()}[5] is None
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.none() | st.text(alphabet=st.characters(exclude_categories=["Cs"]), max_size=12) | st.sampled_from(["ΟΔΟΣ", "ΣΑΣ. Σ", "İΣ", "é😀字", ""]), max_size=6))
+def test_streamed_bytes_give_the_letters(texts):
+    import pyarrow as pa
+
+    from reviewflow.llm.text import code_points, folded_stream
+
+    column = pa.array(["x", *texts, "y"], pa.string()).slice(1, len(texts))
+    points, offsets = code_points(column)
+    assert ["".join(map(chr, points[a:z])) for a, z in zip(offsets[:-1], offsets[1:], strict=True)] == [t or "" for t in texts]
+    folded, offsets = folded_stream(column)
+    expected, ends = letters(texts)
+    assert folded[folded != 0].tolist() == expected.tolist()
+    hashes, sizes = formatcopies.stream_hashes(folded, offsets)
+    assert sizes.tolist() == np.diff(ends).tolist() and hashes.tolist() == formatcopies.rolling_hashes(expected, ends).tolist()
+
+
+def test_hot_group_is_verified_in_slices(spark, monkeypatch):
+    monkeypatch.setattr(formatcopies, "SLICE", 7)
+    rows = [(i, "Same text, over and over!" if i % 3 else f"other text number {i}", None) for i in range(300)]
+    got = formatcopies.format_copies(spark.createDataFrame(rows, "id long, a string, b string"), "id", "a", "b").collect()
+    assert sorted(r.copy_id for r in got) == [i for i in range(2, 300) if i % 3] and {r.first_id for r in got} == {1}
