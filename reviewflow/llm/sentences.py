@@ -45,24 +45,36 @@ FINALS = {
     "thai": "ครับ ค่ะ คะ นะคะ นะครับ จ้า จ้ะ จ๊ะ ฮะ ขอรับ",
     "japanese": "です ます ました ません でした だ た よ ね ですね ますね ました か かな わ ください",
     "chinese": "了 吗 呢 吧 啊 呀 嘛 的 啦 哦",
+    "lao": "ເດີ້ ແດ່ ເນາະ ແລ້ວ ບໍ່ ດອກ",
+    "khmer": "ហើយ ទេ ណា ផង ចុះ បាទ ចាស",
+    "burmese": "တယ် ပါတယ် မယ် ပြီ လား သလား ပါ နော် ဘူး",
 }
 NOT_LAST = {
     "thai": "และ หรือ ที่ ของ กับ แต่ เพราะ รุ่น ราคา ใช้มา",
     "japanese": "の は が を に へ と で も や から より まで って こと その この あの",
     "chinese": "和 与 或 在 把 被 对 向 从 而 但 是 很 这 那 不",
+    "lao": "ແລະ ຫຼື ທີ່ ຂອງ ກັບ ແຕ່ ເພາະ",
+    "khmer": "និង ឬ ដែល របស់ ជាមួយ ប៉ុន្តែ ព្រោះ",
+    "burmese": "နှင့် သို့မဟုတ် သော ၏ ကို မှာ",
 }
 NOT_FIRST = {
     "thai": "ๆ บาท วัน",
     "japanese": "の は が を に へ と も や って です ます",
     "chinese": "的 了 吗 呢 吧 们",
+    "lao": "ໆ ກີບ ວັນ",
+    "khmer": "ៗ រៀល ថ្ងៃ",
+    "burmese": "များ ကျပ် ရက်",
 }
 OPENERS = {
     "thai": "แต่ และ ผม ฉัน แม่ เรา ราคา รุ่น ใช้ จะ คู่มือ สาย ปุ่ม กล่อง แสง เสียง สี ของ รอ",
     "japanese": "でも しかし だから それに ただし 残念ながら この その これ それ 私",
     "chinese": "但是 不过 所以 而且 可惜 另外 这 那 我 他 她 你 它",
+    "lao": "ແຕ່ ແລະ ຂ້ອຍ ຂ້າພະເຈົ້າ ພວກເຮົາ ລາຄາ",
+    "khmer": "ប៉ុន្តែ ហើយ ខ្ញុំ យើង តម្លៃ",
+    "burmese": "ဒါပေမယ့် ပြီးတော့ ကျွန်တော် ကျွန်မ ဈေး",
 }
 
-END = ".!?。！？．｡।॥؟۔‼⁇⁈⁉…～~♪♫"
+END = ".!?。！？．｡।॥؟۔‼⁇⁈⁉…～~♪♫។៕။"
 STOPS = "…."
 WAVES = "～~♪♫"
 OPENING = "([{（［｛【〔〈《「『“‘„‚«‹¿¡〝"
@@ -74,12 +86,12 @@ _AFTER = re.compile(f"(?:[{re.escape(CLOSING)}\"]|[{_EMOJI}][︎️‍\U0001f3fb
 _FACE = re.compile(r"(?<=\s)[:;=][-']?[)(DPpO3]+(?=\s)")
 _WIDE = re.compile("[⺀-鿿豈-﫿\U00020000-\U0003ffff]")
 _HANGUL = re.compile("[가-힯ᄀ-ᇿ]")
-_SPACELESS = {"thai": "฀-໿", "japanese": "぀-ヿ一-鿿", "chinese": "一-鿿"}
+_SPACELESS = {"thai": "฀-๿", "lao": "຀-໿", "khmer": "ក-៓ៗ", "burmese": "က-၉ၐ-႟", "japanese": "぀-ヿ㐀-䶿一-鿿", "chinese": "㐀-䶿一-鿿"}
 _ZH_JA = "ぁ-ゖァ-ヺー々㐀-䶿一-鿿"
-_SPACES = re.compile(f"(?<=[฀-໿]) +(?=\\S)|(?<=[{_ZH_JA}])[ \t\u00a0\u3000]+(?=[{_ZH_JA}])")
+_SPACES = re.compile(f"(?<=[฀-໿ក-៓ៗက-၉ၐ-႟]) +(?=\\S)|(?<=[{_ZH_JA}])[ \t\u00a0\u3000]+(?=[{_ZH_JA}])")
 _RUN_BEFORE, _RUN_AFTER = re.compile("[㐀-䶿一-鿿]{4}$"), re.compile("[㐀-䶿一-鿿]{4}")
 _MONTH = re.compile(r"(?:jan|feb|m[äa]r|apr|ma[iy]|jun|jul|aug|se[pt]|okt|oct|nov|de[zc])", re.I)
-_TOKEN = re.compile(r"[^\s(（「『“\"«„]*$")
+_TOKEN_END = re.compile(r"[\s(（「『“\"«„]")
 
 
 @lru_cache(maxsize=1)
@@ -123,30 +135,69 @@ def word_lattice(s: str, script: str) -> list[str]:
     return out[::-1]
 
 
-def _script_at(c: str, near: str) -> str | None:
-    if "฀" <= c <= "໿":
-        return "thai"
-    if "぀" <= c <= "ヿ":
-        return "japanese"
-    if _WIDE.match(c):
-        return "japanese" if re.search("[぀-ヿ]", near) else "chinese"
-    return None
-
-
-def _word_before(text: str, at: int, script: str) -> str:
-    m = re.search(f"[{_SPACELESS[script]}]{{1,24}}$", text[max(0, at - 24) : at])
-    return word_lattice(m.group(), script)[-1] if m else ""
-
-
-def _word_after(text: str, at: int, script: str) -> str:
-    m = re.match(f"[{_SPACELESS[script]}]{{1,24}}", text[at : at + 24])
-    return word_lattice(m.group(), script)[0] if m else ""
+@lru_cache(maxsize=8)
+def _run(script: str) -> re.Pattern:
+    return re.compile(f"[{_SPACELESS[script]}]+")
 
 
-def _space_costs(text: str, at: int, after: int, script: str) -> tuple[float, float]:
+def _script_at(c: str, kana: bool) -> str | None:
+    """The script without spaces that a character belongs to; ``kana``: whether its paragraph has any."""
+    for name in ("thai", "lao", "khmer", "burmese"):
+        if _run(name).match(c):
+            return name
+    if "぀" <= c <= "ヿ":
+        return "japanese"
+    return ("japanese" if kana else "chinese") if _WIDE.match(c) else None
+
+
+class _Runs:
+    """The words of a text's runs of scripts without spaces: every run is segmented whole, once, when a gap beside it asks."""
+
+    def __init__(self, text: str) -> None:
+        self.text = text
+        self.breaks = [m.start() for m in re.finditer(r"\n\s*\n", text)]
+        self._spans: dict[str, tuple[list[int], list[int]]] = {}
+        self._words: dict[tuple[str, str], list[str]] = {}
+        self._kana: dict[int, bool] = {}
+
+    def script(self, at: int) -> str | None:
+        if not 0 <= at < len(self.text):
+            return None
+        n = bisect_left(self.breaks, at)
+        if n not in self._kana:
+            a, z = self.breaks[n - 1] if n else 0, self.breaks[n] if n < len(self.breaks) else len(self.text)
+            self._kana[n] = bool(re.compile("[぀-ヿ]").search(self.text, a, z))
+        return _script_at(self.text[at], self._kana[n])
+
+    def _at(self, script: str) -> tuple[list[int], list[int]]:
+        if script not in self._spans:
+            spans = [m.span() for m in _run(script).finditer(self.text)]
+            self._spans[script] = [a for a, _ in spans], [z for _, z in spans]
+        return self._spans[script]
+
+    def _split(self, script: str, run: str) -> list[str]:
+        key = script, run
+        if key not in self._words:
+            self._words[key] = word_lattice(run, script)
+        return self._words[key]
+
+    def before(self, at: int, script: str) -> str:
+        """The last word of the run that ends at a place."""
+        starts, ends = self._at(script)
+        i = bisect_left(ends, at)
+        return self._split(script, self.text[starts[i] : at])[-1] if i < len(ends) and ends[i] == at else ""
+
+    def after(self, at: int, script: str) -> str:
+        """The first word of the run that begins at a place."""
+        starts, ends = self._at(script)
+        i = bisect_left(starts, at)
+        return self._split(script, self.text[at : ends[i]])[0] if i < len(starts) and starts[i] == at else ""
+
+
+def _space_costs(runs: _Runs, at: int, after: int, script: str) -> tuple[float, float]:
     """(cost of a boundary, cost of none) at a space in a script without spaces between words: particle and opener add up, either
     decides alone. Chinese has no such space within a sentence, so two longer runs are parted without either word."""
-    before, behind = _word_before(text, at, script), _word_after(text, after, script)
+    text, before, behind = runs.text, runs.before(at, script), runs.after(after, script)
     final, opener = before in FINALS[script].split(), behind in OPENERS[script].split()
     against = not final and before in NOT_LAST[script].split() or not opener and behind in NOT_FIRST[script].split()
     bare = script == "chinese" and not final and not opener and bool(_RUN_BEFORE.search(text, max(0, at - 4), at) and _RUN_AFTER.match(text, after))
@@ -183,6 +234,14 @@ def inside_pairs(text: str) -> list[tuple[int, int]]:
     return spans
 
 
+def _token(text: str, end: int) -> str:
+    """What stands before a place without space or opening mark, however long."""
+    at = end
+    while at and not _TOKEN_END.match(text[at - 1]):
+        at -= 1
+    return text[at:end]
+
+
 # ---- terminator lattice ----------------------------------------------------------------------------------------------
 
 
@@ -217,7 +276,7 @@ def _readings(text: str, start: int, end: int, stop: int) -> tuple[float, float]
             return 4.0, 1.0
         if not closed:
             open_cost, none = _abbreviation(text, start, end) if marks == "." else (0.0, 3.0)
-            token = _TOKEN.search(text, max(0, start - 24), start).group().lower()
+            token = _token(text, start).lower()
             return (0.5, 2.0) if token in _close() and not first.islower() else (open_cost, none)
     if c in ",;:，；：、)）]—–-" and not newline:
         return 6.0, 0.0
@@ -235,7 +294,7 @@ def _readings(text: str, start: int, end: int, stop: int) -> tuple[float, float]
     if marks == ".":
         if not gap:
             # Glued: decimals, versions, addresses, or a missing space after a whole word.
-            token = _TOKEN.search(text, max(0, start - 40), start).group()
+            token = _token(text, start)
             part = re.search(r"(?:[^\W\d_]{2,}|\d+)$", token)
             begins = first.isupper() and (text[stop : stop + 1] in OPENING or text[stop + 1 : stop + 2].islower() or text[stop + 1 : stop + 2] in "' ’")
             if begins and part and part.group().lower() not in _open() and not re.match(r"www$|https?:", token):
@@ -254,7 +313,7 @@ def _letters_only(c: str) -> bool:
 
 def _abbreviation(text: str, start: int, end: int) -> tuple[float, float]:
     """(cost of a boundary, cost of none) by what stands before a full stop, where something that could begin follows."""
-    token = _TOKEN.search(text, max(0, start - 24), start).group().lower().lstrip("¿¡([")
+    token = _token(text, start).lower().lstrip("¿¡([")
     spaced = re.search(r"(\S{1,3}\.\s?\S{1,3})$", text[max(0, start - 8) : start])
     joined = re.sub(r"\s", "", spaced.group()).lower() if spaced else ""
     part = token.rsplit(".", 1)[-1]  # after a missing space
@@ -291,18 +350,17 @@ def _wrapped(text: str) -> bool:
     return full >= 0.8 * len(breaks) and (len(breaks) > 1 or loose > 0)
 
 
-def _breaks_here(text: str, at: int, after: int, wrapped: bool, width: int) -> bool:
+def _breaks_here(runs: _Runs, at: int, after: int, wrapped: bool, width: int) -> bool:
     """Whether a line break without end mark, white space from at to after, is a boundary."""
+    text = runs.text
     if text[at:after].count("\n") > 1:
         return True
     last, first = text[at - 1 : at], text[after : after + 1]
     if last in ",，、;；" or first.islower():
         return False
-    near = text[max(0, at - 40) : after + 40]
-    script = _script_at(last, near) or _script_at(first, near)
-    if script:
-        if _word_before(text, at, script) in NOT_LAST[script].split() or _word_after(text, after, script) in NOT_FIRST[script].split():
-            return False
+    script = runs.script(at - 1) or runs.script(after)
+    if script and (runs.before(at, script) in NOT_LAST[script].split() or runs.after(after, script) in NOT_FIRST[script].split()):
+        return False
     if wrapped:
         line = text[text.rfind("\n", 0, at) + 1 : at]
         head = text[after:].split(None, 1)[0]
@@ -316,7 +374,7 @@ def _breaks_here(text: str, at: int, after: int, wrapped: bool, width: int) -> b
 
 def boundaries(text: str) -> list[int]:
     """Positions after which a new sentence begins, in order."""
-    inner = _merged(inside_pairs(text))
+    inner, runs = _merged(inside_pairs(text)), _Runs(text)
     wrapped = "\n" in text and _wrapped(text)
     width = max(map(len, text.split("\n"))) if wrapped else 0
     gaps: dict[int, tuple[float, float]] = {}
@@ -328,11 +386,10 @@ def boundaries(text: str) -> list[int]:
             gaps.setdefault(m.end(), (0.5, 2.0))
     for m in re.finditer(r"[^\S\n]*\n\s*", text):
         if m.start() and m.end() < len(text) and m.start() not in gaps:
-            gaps[m.start()] = (0.0, 5.0) if _breaks_here(text, m.start(), m.end(), wrapped, width) else (5.0, 0.0)
+            gaps[m.start()] = (0.0, 5.0) if _breaks_here(runs, m.start(), m.end(), wrapped, width) else (5.0, 0.0)
     for m in _SPACES.finditer(text):
         if m.start() not in gaps:
-            script = _script_at(text[m.start() - 1], text[max(0, m.start() - 40) : m.end() + 40])
-            gaps[m.start()] = _space_costs(text, m.start(), m.end(), script)
+            gaps[m.start()] = _space_costs(runs, m.start(), m.end(), runs.script(m.start() - 1))
     return _cheapest(text, gaps, inner)
 
 

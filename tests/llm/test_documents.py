@@ -202,3 +202,16 @@ def test_the_name_filter_misses_no_occurrence(spark):
     want = {(i, i + len(n)) for n in names for i in range(len(s)) if s.startswith(n, i)}
     assert want <= got and {(a, z) for a, z in got if s[a:z] in names} == want
     assert personal._name_filter(spark.createDataFrame([], "instance string"))[1] == 0
+
+
+@pytest.mark.parametrize(
+    ("text", "starts"),
+    [
+        ("ខ្ញុំចូលចិត្ត។ តម្លៃល្អ។", [0, 15]),
+        ("ကောင်းပါတယ် ကျွန်တော်ဝယ်မယ်", [0, 12]),
+        ("ดี" * 40 + "ครับ แต่ราคาแพง", [0, 85]),  # the particle ends a run far longer than any word
+        ("好" * 60 + "了 但是" + "贵" * 40, [0, 62]),
+    ],
+)
+def test_runs_are_segmented_whole(text, starts):
+    assert sentences.sentence_starts(text) == starts
