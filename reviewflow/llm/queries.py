@@ -40,6 +40,10 @@ def p4_forms(spark: SparkSession, d: str) -> DataFrame:
     return lookalike.consistent_texts(_read(spark, d, "reviews"), "review_id", "评论内容")
 
 
+def p4_classes(spark: SparkSession, d: str) -> DataFrame:
+    return lookalike.look_classes(_read(spark, d, "reviews"), "review_id", "评论内容")
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return formatcopies.format_copies(_read(spark, d, "thread_comments"), "comment_id", "评论内容", "一级评论")
 
@@ -80,4 +84,4 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return p10_sentences(spark, d).select("doc_id", "start_pos")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_repaired, p2_found, p2_classes, p4_found, p4_forms, p5_found, p5_collapsed, p7_found, p7_redacted, p8_ids, p8_decoded, p9_mixture, p9_shares, p10_found, p10_sentences)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_repaired, p2_found, p2_classes, p4_found, p4_forms, p4_classes, p5_found, p5_collapsed, p7_found, p7_redacted, p8_ids, p8_decoded, p9_mixture, p9_shares, p10_found, p10_sentences)}

@@ -204,3 +204,9 @@ def test_hot_group_is_verified_in_slices(spark, monkeypatch):
     rows = [(i, "Same text, over and over!" if i % 3 else f"other text number {i}", None) for i in range(300)]
     got = formatcopies.format_copies(spark.createDataFrame(rows, "id long, a string, b string"), "id", "a", "b").collect()
     assert sorted(r.copy_id for r in got) == [i for i in range(2, 300) if i % 3] and {r.first_id for r in got} == {1}
+
+
+def test_look_classes(spark):
+    rows = [(1, "Café"), (2, "Café"), (3, "Ｃａｆé"), (4, "Café"), (5, None), (6, " "), (7, "tea"), (8, "Cafe")]
+    got = {r.id: (r.class_id, r.n_rows, r.n_texts) for r in lookalike.look_classes(spark.createDataFrame(rows, "id long, t string"), "id", "t").collect()}
+    assert got == dict.fromkeys((1, 2, 3, 4), (1, 4, 3)) | {7: (7, 1, 1), 8: (8, 1, 1)}
