@@ -4,7 +4,8 @@ Method: bootstrapped contextual extraction. Seed entities (shapes that prove the
 with the form of a person's number or a telephone, names with a title or an introducing phrase) induce lexical patterns, which
 are the words to the left and right of an entity. Patterns and instances form a bipartite graph with counted edges; Spark
 scores it iteratively: a pattern is worth the share of its occurrences that are believed instances, an instance is believed
-by its best patterns. Patterns of high confidence then discover identifiers that no seed rule knows.
+by its best patterns. Patterns of high confidence then discover identifiers that no seed rule knows. Names discovered so induce further
+patterns by the words on their other side, which are looked for in all texts and scored like the first, until no new ones come.
 
 An instance of a number is its shape (digits masked), as numbers hardly repeat; an instance of a name is the name.
 
@@ -26,7 +27,7 @@ from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from datetime import date
-from functools import lru_cache
+from functools import lru_cache, reduce
 from itertools import accumulate
 
 import ahocorasick
@@ -82,11 +83,19 @@ _SHAPE = {k: re.compile(v) for k, v in SHAPES.items()}
 # ---- a text of the same length in which forms of width and dashes are one ----------------------------------------------
 
 
+class _Widths(dict):
+    """For str.translate, which is slow where a character is missing."""
+
+    def __missing__(self, point: int) -> int:
+        self[point] = point
+        return point
+
+
 @lru_cache(maxsize=1)
 def _plain_table() -> dict[int, str]:
     out = {i: chr(i - 0xFEE0) for i in range(0xFF01, 0xFF5F)} | {0x3000: " ", 0xA0: " ", 0x202F: " ", 0x2009: " ", 0x2007: " "}
     out |= {ord(c): "-" for c in "‐‑‒–—−－"}
-    return out
+    return _Widths(out)
 
 
 _WIDTHS = re.compile("[\u00a0\u2007\u2009-\u2015\u202f\u2212\u3000\uff01-\uff5e]")
@@ -159,8 +168,14 @@ _ADDRESSES = re.compile(
 def address_spans(s: str) -> Iterator[tuple[int, int]]:
     for core, lead in _ROADS:
         for m in core.finditer(s):
-            start = max(0, m.start() - 40)
-            if before := lead.search(s[start : m.start()]):
+            before, room = None, 40
+            while True:  # as far back as the lead goes
+                start = max(0, m.start() - room)
+                before = lead.search(s[start : m.start()])
+                if start == 0 or before is None or before.start():
+                    break
+                room *= 2
+            if before:
                 a = start + before.start()
                 cue = _ROAD_CUE.match(s[a : m.start()])
                 yield (a + cue.end() if cue and a + cue.end() < m.start() else a), m.end()
@@ -235,15 +250,24 @@ _WORDS_RIGHT = re.compile(r",? (?:[\w'’-]+ ?){1,2}|[)]")
 
 def contexts(s: str, a: int, z: int) -> list[str]:
     """Pattern nodes of a span: the words or characters before it (L) and after it (R); a sentence's end is no context."""
-    left, right = s[max(0, a - 24) : a], s[z : z + 24]
     out = []
-    if m := _EAST_LEFT.search(left) or _WORDS_LEFT.search(left):
+    left = s[_words_back(s, a, 3) : a]
+    if m := _EAST_LEFT.search(s[max(0, a - 6) : a]) or _WORDS_LEFT.search(left):
         out.append("L" + m.group().lower().replace(" ", "_"))
-    if m := _EAST_RIGHT.match(right) or _WORDS_RIGHT.match(right):
+    if m := _EAST_RIGHT.match(s, z) or _WORDS_RIGHT.match(s, z):
         out.append("R" + m.group().lower().replace(" ", "_"))
     return out
 
 
+def _words_back(s: str, at: int, n: int) -> int:
+    """Where the n-th word before a place begins, however long words are."""
+    for _ in range(n):
+        at = s.rfind(" ", 0, at)
+        if at < 0:
+            return 0
+    return at + 1
+
+
 def _mask(s: str) -> str:
     return re.sub(r"[A-Za-z]", "A", re.sub(r"\d", "9", s))
 
@@ -448,10 +472,12 @@ class Extractor:
                     if m:
                         yield m.start(), m.end(), "L" + w.replace(" ", "_")
             if w in self.right:
-                for script in _scripts(s[max(0, a - 12) : a]) or ():
-                    m = _LEFT_END[_near(script, s)].search(s[max(0, a - 30) : a])
+                for script in _scripts(s[min(max(0, a - 12), _words_back(s, a, 2)) : a]) or ():
+                    # Names of words have up to nine of them; in other scripts a name has at most ten characters.
+                    lo = _words_back(s, a, 10) if script in ("latin", "cyrillic") else max(0, a - 12)
+                    m = _LEFT_END[_near(script, s)].search(s[lo:a])
                     if m:
-                        yield max(0, a - 30) + m.start(), a, "R" + w.replace(" ", "_")
+                        yield lo + m.start(), a, "R" + w.replace(" ", "_")
 
 
 def _near(script: str, s: str) -> str:
@@ -459,7 +485,10 @@ def _near(script: str, s: str) -> str:
 
 
 def _match_batches(patterns: Broadcast, n_fields: int):
-    """All name-shaped spans that candidate patterns meet: believed names and others, so that a pattern's precision shows."""
+    """All name-shaped spans that candidate patterns meet: believed names and others, so that a pattern's precision shows.
+
+    What else stands beside such a span comes as edges of kind ``beside``: patterns that it may induce once it is believed.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edges: Counter = Counter()
@@ -471,6 +500,9 @@ def _match_batches(patterns: Broadcast, n_fields: int):
                         s, _ = plain(t)
                         for a, z, p in x.names(s):
                             edges["name", p, s[a:z], ""] += 1
+                            for q in contexts(s, a, z):
+                                if q[0] != p[0]:
+                                    edges["beside", q, s[a:z], ""] += 1
         yield from _counted(edges)
 
     return run
@@ -510,11 +542,26 @@ def learnt_patterns(rows: DataFrame, fields: list[str]) -> dict[str, dict[str, f
     seen = written(texts.mapInArrow(_context_batches(known, len(fields)), _EDGES).join(names, "instance", "left_semi"), "pii-contexts")
     support = seen.groupBy("pattern").agg(F.count_distinct("instance").alias("k")).where(f"k >= {SUPPORT}")
     candidates = [r.pattern for r in support.orderBy(F.desc("k"), "pattern").select("pattern").collect()]
-    met = texts.mapInArrow(_match_batches(spark.sparkContext.broadcast(candidates), len(fields)), _EDGES)
-    name_edges = met.unionByName(seen.select("kind", "pattern", "instance", F.lit("name").alias("seed"), F.lit(0).cast("long").alias("n")))
+    seeds = seen.select("kind", "pattern", "instance", F.lit("name").alias("seed"), F.lit(0).cast("long").alias("n"))
+    tried, accepted, scored_names = written(support.select("pattern"), "pii-tried"), names, []
+    while candidates:
+        every = written(texts.mapInArrow(_match_batches(spark.sparkContext.broadcast(candidates), len(fields)), _EDGES), "pii-met")
+        # What earlier rounds accepted counts like a seed for the patterns of this round.
+        is_known = accepted.withColumn("known", F.lit("name"))
+        met = every.where("kind = 'name'").join(is_known, "instance", "left").select("kind", "pattern", "instance", F.coalesce("known", F.lit("")).alias("seed"), "n")
+        scored = score_graph(met if scored_names else met.unionByName(seeds))
+        scored_names.append(scored)
+        # Names that confident patterns introduce, and what stands on their other side.
+        sure = scored.where(f"confidence >= {SURE} AND support >= {SUPPORT}").select("pattern", "confidence")
+        believed = met.join(sure, "pattern").groupBy("instance").agg((F.sum(F.col("confidence") * F.col("n")) / F.sum("n")).alias("belief")).where(f"belief >= {SURE}")
+        believed = written(believed.select("instance").join(accepted, "instance", "left_anti"), "pii-accepted")
+        beside = every.where("kind = 'beside'").join(believed, "instance", "left_semi").groupBy("pattern").agg(F.count_distinct("instance").alias("k")).where(f"k >= {SUPPORT}")
+        new = written(beside.join(tried, "pattern", "left_anti").select("pattern"), "pii-induced")
+        candidates = [r.pattern for r in new.orderBy("pattern").collect()]
+        tried, accepted = tried.unionByName(new), accepted.unionByName(believed)
     # What follows a number is often the next finding; such patterns must be surer and show more shapes.
     numbers = _number_patterns(first).where(f"pattern LIKE 'L%' OR confidence >= {SURE_AFTER} AND support > {SUPPORT}")
-    scored = score_graph(name_edges).unionByName(numbers).where(f"confidence >= {SURE} AND support >= {SUPPORT}")
+    scored = reduce(DataFrame.unionByName, scored_names, numbers).where(f"confidence >= {SURE} AND support >= {SUPPORT}")
     out: dict[str, dict[str, float]] = {"phone": {}, "id_number": {}, "name": {}}
     for r in scored.collect():
         out[r.kind][r.pattern] = r.confidence

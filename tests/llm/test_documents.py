@@ -215,3 +215,16 @@ def test_the_name_filter_misses_no_occurrence(spark):
 )
 def test_runs_are_segmented_whole(text, starts):
     assert sentences.sentence_starts(text) == starts
+
+
+def test_a_pattern_of_the_second_round_finds_a_name(spark):
+    known = ["Orla Venn", "Tibor Hask", "Mina Quill", "Jory Pell"]
+    later = ["Sela Drum", "Pavo Lint", "Edda Moss", "Kito Brand"]
+    texts = [f"My name is {n}. It works." for n in known] + [f"It was handled by {n}." for n in known] * 2
+    texts += [f"It was handled by {n} at depot nine." for n in later] * 2  # no seed rule knows these names
+    texts += ["we asked Wren Sato at depot nine.", "the lamp stands at the wall.", "Great Lamp works."]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, t string")
+    patterns = personal.learnt_patterns(df, ["t"])["name"]
+    assert any(p.startswith("Lhandled_by") or p.startswith("Lby") for p in patterns) and any(p.startswith("R") and "depot" in p for p in patterns)
+    got = {r.id for r in personal.personal_kinds(df, "id", ["t"]).collect() if r.kind == "name"}
+    assert got == set(range(len(texts) - 2))
