@@ -125,6 +125,8 @@ def plain(text: str) -> tuple[str, list[int] | None]:
 # ---- shapes that prove themselves --------------------------------------------------------------------------------------
 
 _EMAIL = re.compile(r"[A-Za-z0-9][A-Za-z0-9._%+-]*\s?(?:@|\(at\)|\[at\]|\{at\})\s?[A-Za-z0-9-]+(?:(?:\.|\s?[(\[]dot[)\]]\s?)[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", re.I)
+#: What an address of mail has in its middle, one of these.
+_AT = ("@", "(at)", "[at]", "{at}")
 # Addresses, each in two steps: a core that is searched, and what may stand before it.
 _ROADS = (
     (
@@ -148,6 +150,7 @@ _ROAD_WORDS = frozenset(
     "ул улица пр-т проспект пер переулок наб".split()
 )
 _WORD = re.compile(r"\w+")
+_DIGIT = re.compile(r"\d")
 # Those that an address may have without a word's edge before or after them.
 _ROAD_STEMS = "Calle Avda Avenida Plaza Paseo Carrer Camino C/ ул. улица пр-т проспект пер. переулок наб.".split()
 _ROAD_END = re.compile(r"(?:stra(?:ß|ss)e|str\.|weg|platz|gasse|allee|ufer|damm|ring) \d")
@@ -580,8 +583,9 @@ class Finder:
         if not text:
             return []
         s, places = plain(text)
-        found = [(m.start(), m.end(), "email") for m in _EMAIL.finditer(s)] if "@" in s or "at" in s.lower() else []
-        if re.search(r"\d", s):
+        low = s.lower()
+        found = [(m.start(), m.end(), "email") for m in _EMAIL.finditer(s)] if any(x in low for x in _AT) else []
+        if _DIGIT.search(s):
             found += [(a, z, "address") for a, z in address_spans(s)]
             if _ENOUGH.search(s):
                 for a, z, kind in number_spans(s):
