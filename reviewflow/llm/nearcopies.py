@@ -10,8 +10,8 @@ abandoned once all their distances exceed the radius. Survivors are verified exa
 Candidates: 64 bands of 5 minima find a pair of similarity 0.6 with probability 0.994, 0.65 with 0.9996, 0.7 with 0.99999;
 the radius lets through all but 1 in 100,000 pairs of similarity 0.6. Links are exact: no pair below the threshold comes out.
 
-Scale: a bucket is never a group of one task beyond ``SPLIT`` sets; larger ones are cut into block pairs, which are spread
-over tasks of their own. Equal texts meet as one set, so a text held by a third of all rows costs no more than any other.
+Scale: a bucket is never compared by one task beyond ``SPLIT`` sets; larger ones come out as blocks, each once, and pairs of block
+numbers are spread over tasks that fetch both blocks. Equal texts meet as one set, so a text held by a third of all rows costs no more than any other.
 
 Defined results
 * null, blank and shorter texts (fewer than ``least`` letters) have no links.
@@ -279,20 +279,27 @@ def _distinct_pairs(found: list[np.ndarray]) -> np.ndarray:
     return x[np.concatenate([[True], (x[1:] != x[:-1]).any(axis=1)])] if len(x) else x
 
 
-_LINKS = "a long, b long, work binary"
+_LINKS = "a long, b long, bucket long, block int, blocks int, work binary"
+_NO_LINKS = np.zeros((0, 2), dtype=np.int64)
 
 
-def _link_batch(pairs: np.ndarray, work: list[bytes]) -> pa.RecordBatch:
-    n = len(work)
-    cols = [np.concatenate([pairs[:, i], np.zeros(n, dtype=np.int64)]) for i in (0, 1)]
-    return pa.RecordBatch.from_arrays([*map(pa.array, cols), pa.array([None] * len(pairs) + work, pa.binary())], names=["a", "b", "work"])
+def _link_batch(pairs: np.ndarray, bucket: int = 0, work: list[bytes] = ()) -> pa.RecordBatch:
+    """Links, or the blocks of a bucket."""
+    k, n = len(pairs), len(work)
+    ints = lambda values: pa.array([None] * k + values, pa.int32())
+    cols = [pa.array(np.concatenate([pairs[:, i], np.zeros(n, dtype=np.int64)])) for i in (0, 1)]
+    cols += [pa.array([None] * k + [bucket] * n, pa.int64()), ints(list(range(n))), ints([n] * n), pa.array([None] * k + list(work), pa.binary())]
+    return pa.RecordBatch.from_arrays(cols, names=["a", "b", "bucket", "block", "blocks", "work"])
 
 
 def _bucket_batches(radius: int):
-    """All blocks of one part: buckets of one task's size are compared here, larger ones come out as block pairs of work."""
+    """One part: buckets of one task's size are compared here, larger ones come out as blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [_unpack(x) for b in batches for x in b.column(1).to_pylist()]
+        parts, label = [], None
+        for b in batches:
+            label = b.column(0)[0].as_py() if label is None and b.num_rows else label
+            parts += [_unpack(x) for x in b.column(1).to_pylist()]
         if not parts:
             return
         base = np.cumsum([0] + [len(p[0]) for p in parts])
@@ -310,37 +317,54 @@ def _bucket_batches(radius: int):
         many = many[np.argsort(-size[many], kind="stable")]
         big = many[size[many] > SPLIT]
         for s, n in zip(starts[big], size[big], strict=True):
-            at = [entry[s + i : s + min(i + SPLIT, n)] for i in range(0, n, SPLIT)]
-            for i in range(len(at)):
-                work = [_pack_work(keys, sk, at[i], at[j] if j != i else at[i][:0]) for j in range(i, len(at))]
-                yield _link_batch(np.zeros((0, 2), dtype=np.int64), work)
+            at = (entry[s + i : s + min(i + SPLIT, n)] for i in range(0, n, SPLIT))
+            yield _link_batch(_NO_LINKS, label << 32 | int(bucket[s]), [_pack_block(keys, sk, x) for x in at])
         small = many[size[many] <= SPLIT]
         s, n = starts[small], size[small]
         at = entry[np.repeat(s - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
-        yield _link_batch(_distinct_pairs(bucket_links(keys[at], sk[at], n, radius)), [])
+        yield _link_batch(_distinct_pairs(bucket_links(keys[at], sk[at], n, radius)))
 
     return run
 
 
-def _pack_work(keys: np.ndarray, sk: np.ndarray, one: np.ndarray, two: np.ndarray) -> bytes:
-    at = np.concatenate([one, two])
-    return np.array([len(at), len(one)], dtype=np.int64).tobytes() + keys[at].tobytes() + sk[at].tobytes()
+def _pack_block(keys: np.ndarray, sk: np.ndarray, at: np.ndarray) -> bytes:
+    return np.array([len(at)], dtype=np.int64).tobytes() + keys[at].tobytes() + sk[at].tobytes()
+
+
+def _unpack_block(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    (n,) = np.frombuffer(blob, np.int64, 1)
+    return np.frombuffer(blob, np.int64, n, 8), np.frombuffer(blob, np.uint8, n * (BITS // 8), 8 + 8 * n).reshape(n, BITS // 8)
 
 
 def _work_batches(radius: int):
-    """Two blocks of a large bucket, all against all; a block alone against itself."""
+    """Two blocks of a large bucket, all against all; a block alone (no second one) against itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for blob in b.column(0).to_pylist():
-                n, _ = np.frombuffer(blob, np.int64, 2)
-                keys = np.frombuffer(blob, np.int64, n, 16)
-                sk = np.frombuffer(blob, np.uint8, n * (BITS // 8), 16 + 8 * n).reshape(n, BITS // 8)
-                yield _link_batch(_distinct_pairs(bucket_links(keys, sk, np.array([n]), radius)), [])
+            for one, two in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                keys, sk = _unpack_block(one)
+                if two is not None:
+                    more = _unpack_block(two)
+                    keys, sk = np.concatenate([keys, more[0]]), np.concatenate([sk, more[1]])
+                yield _link_batch(_distinct_pairs(bucket_links(keys, sk, np.array([len(keys)]), radius)))
 
     return run
 
 
+def _block_pairs(blocks: DataFrame, parts: int) -> DataFrame:
+    """(one, two): every pair of blocks of a bucket once, and every block of a bucket that has no other with null.
+
+    Pairs are numbers until both blocks are fetched by (bucket, block), so no task holds more than the blocks it compares. A pair
+    also compares the blocks within themselves.
+    """
+    refs = blocks.select("bucket", F.col("block").alias("i"), F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("j"), "blocks")
+    refs = refs.where("i < j OR blocks = 1").repartition(parts)
+    one = blocks.select("bucket", F.col("block").alias("i"), F.col("work").alias("one"))
+    two = blocks.select("bucket", F.col("block").alias("j"), F.col("work").alias("two"))
+    both = refs.join(one, ["bucket", "i"]).join(two, ["bucket", "j"])
+    return both.select("one", F.when(F.col("i") < F.col("j"), F.col("two")).alias("two"))
+
+
 # ---- the operator ----------------------------------------------------------------------------------------------------
 
 
@@ -392,7 +416,7 @@ def near_classes(rows: DataFrame, row_id: str, text: str, threshold: float, leas
     labels = _labels(spark, parts)
     blocks = named.select("text").mapInArrow(_block_batches(least, labels), "part int, blob binary").repartition(parts, "part")
     first = written(blocks.mapInArrow(_bucket_batches(radius), _LINKS), "near-links")
-    work = first.where("work IS NOT NULL").select("work").repartition(parts)
+    work = _block_pairs(first.where("work IS NOT NULL"), parts)
     links = first.where("work IS NULL").select("a", "b").union(work.mapInArrow(_work_batches(radius), _LINKS).select("a", "b")).distinct()
     links = written(links, "near-candidates")
     members = written(named.mapInArrow(_member_batches(least), "id long, k long"), "near-members")

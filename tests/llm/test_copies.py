@@ -93,10 +93,16 @@ def test_large_buckets_are_split_without_loss(spark, texts, monkeypatch):
     labels = [0]
     blocks = list(nearcopies._block_batches(least, labels)(iter([pa.RecordBatch.from_arrays([pa.array([t for _, t in texts], pa.string())], names=["t"])])))
     first = list(nearcopies._bucket_batches(nearcopies.radius_for(0.6))(iter(blocks)))
-    work = [w for b in first for w in b.column(2).to_pylist() if w]
+    rows = [r for b in first for r in b.to_pylist()]
+    work = [r for r in rows if r["work"] is not None]
     assert work
-    pairs = {(a, b) for x in first for a, b, w in zip(*(x.column(i).to_pylist() for i in range(3)), strict=True) if w is None}
-    more = nearcopies._work_batches(nearcopies.radius_for(0.6))(iter([pa.RecordBatch.from_arrays([pa.array(work, pa.binary())], names=["work"])]))
+    pairs = {(r["a"], r["b"]) for r in rows if r["work"] is None}
+    # Blocks meet by their numbers: every pair of a bucket's blocks once.
+    met = nearcopies._block_pairs(spark.createDataFrame([(r["bucket"], r["block"], r["blocks"], r["work"]) for r in work], "bucket long, block int, blocks int, work binary"), 4).collect()
+    sizes = {r["bucket"]: r["blocks"] for r in work}
+    assert len(met) == sum(max(1, n * (n - 1) // 2) for n in sizes.values())
+    two = pa.RecordBatch.from_arrays([pa.array([None if r[k] is None else bytes(r[k]) for r in met], pa.binary()) for k in ("one", "two")], names=["one", "two"])
+    more = nearcopies._work_batches(nearcopies.radius_for(0.6))(iter([two]))
     pairs |= {(a, b) for x in more for a, b in zip(x.column(0).to_pylist(), x.column(1).to_pylist(), strict=True)}
     rows, grams, ends = nearcopies.gram_sets([t for _, t in texts], least)
     key = {texts[r][0]: int(k) for r, k in zip(rows, nearcopies.class_keys(grams, ends), strict=True)}
