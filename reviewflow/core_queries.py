@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewflow.operators import drift, instants
+from reviewflow.storage import shared_dir
 
 
 def _read(spark: SparkSession, d: str, *names: str) -> list[DataFrame]:
@@ -13,10 +14,10 @@ def _read(spark: SparkSession, d: str, *names: str) -> list[DataFrame]:
 
 
 def p3_instants(spark: SparkSession, d: str) -> DataFrame:
-    """The operator's whole result: every review row with its instant or null."""
+    """The operator's whole result: every review row with its instant or null. The dictionary persists between runs."""
     reviews, files = _read(spark, d, "reviews", "export_files")
     rows = reviews.select("review_id", "file_id", F.col("评论日期").alias("raw")).join(files.select("file_id", "time_zone", "locale"), "file_id", "left")
-    return instants.normalise_instants(rows, "review_id", "raw", "time_zone", "locale")
+    return instants.normalise_instants(rows, "review_id", "raw", "time_zone", "locale", path=f"{shared_dir(spark)}/instant-dictionary")
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:

@@ -187,20 +187,22 @@ def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def instant_dictionary(raw: DataFrame, path: str | None = None) -> DataFrame:
     """(value, zone, locale, utc_time) of each distinct raw string of ``raw`` (value, zone, locale).
 
-    With ``path`` the dictionary lives there as a table: strings it already holds are not parsed again, new ones are added.
+    With ``path`` the dictionary lives there as a table: strings it already holds are not parsed again, new ones are added. Two runs
+    that add at the same time may both add a string; parsing is a function, so the entries are equal and one is read.
     """
     spark = raw.sparkSession
     ship_package(spark)
     keys = raw.select("value", "zone", "locale").distinct()
     schema = "value string, zone string, locale string, utc_time string"
     if path:
+        entries = lambda: spark.read.schema(schema).parquet(path).groupBy("value", "zone", "locale").agg(F.max("utc_time").alias("utc_time"))
         hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         if hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop):
-            known = spark.read.schema(schema).parquet(path)
+            known = entries()
             same = [keys[c].eqNullSafe(known[c]) for c in ("value", "zone", "locale")]
             keys = keys.join(known, same, "left_anti")
         keys.mapInArrow(_parse_batches, schema).write.mode("append").parquet(path)
-        return spark.read.schema(schema).parquet(path)
+        return entries()
     return written(keys.mapInArrow(_parse_batches, schema), "instants")
 
 
@@ -208,8 +210,10 @@ def normalise_instants(rows: DataFrame, row_id: str, value: str, zone: str, loca
     """(row_id, utc_time) of every row of ``rows``; utc_time is null where the value gives no instant."""
     quoted = lambda c: F.col(f"`{c}`")
     raw = rows.select(quoted(row_id).alias("row_id"), quoted(value).alias("value"), quoted(zone).alias("zone"), quoted(locale).alias("locale"))
-    # A value without any digit of any script gives no instant, so it needs no entry.
-    digits = raw.where(F.col("value").rlike(r"\p{Nd}|[\p{No}\p{Nl}]"))
+    # A value without any digit of any script gives no instant: such rows, nulls among them, need no entry and no join.
+    has_digit = F.coalesce(F.col("value").rlike(r"\p{Nd}|[\p{No}\p{Nl}]"), F.lit(False))
+    digits = raw.where(has_digit)
     known = instant_dictionary(digits, path)
-    same = [raw[c].eqNullSafe(known[c]) for c in ("value", "zone", "locale")]
-    return raw.join(known, same, "left").select(raw["row_id"].alias(row_id), known["utc_time"])
+    same = [digits[c].eqNullSafe(known[c]) if c != "value" else digits[c] == known[c] for c in ("value", "zone", "locale")]
+    found = digits.join(known, same, "left").select(digits["row_id"].alias(row_id), known["utc_time"])
+    return found.unionByName(raw.where(~has_digit).select(F.col("row_id").alias(row_id), F.lit(None).cast("string").alias("utc_time")))
