@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewflow.storage import shared_dir, written
+from reviewflow.storage import written
 
 
 class UnmatchedError(ValueError):
@@ -22,25 +20,29 @@ def joined_by_id(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 
 def flattened(nodes: DataFrame, node: str, parent: str) -> DataFrame:
-    """(node, parent, root, level, is_reply, path) in pre-order by path: level by level joins, as many as the tree is deep.
+    """(node, parent, root, level, is_reply, path) in pre-order by path, for trees of any depth.
 
-    Each level is written before the next, so lineage stays short. A node whose parent is absent is a root; nodes on a cycle
-    have no level and don't come out.
+    Pointer doubling: each node knows the stretch of its path from some ancestor down to itself; a round puts the ancestor's own
+    stretch before it, so stretches double and a tree of depth d takes log2(d) rounds, each written. A node whose parent is absent is a
+    root. Once a round completes no node, only nodes on or below a cycle are open: they have no level and don't come out.
     """
     n = nodes.select(F.col(node).alias("node"), F.col(parent).alias("parent")).groupBy("node").agg(F.min("parent").alias("parent"))
-    known = n.select(F.col("node").alias("parent"))
-    padded = lambda c: F.lpad(F.col(c).cast("string"), 20, "0")
-    roots = n.join(known, "parent", "left_anti")
-    base = f"{shared_dir(nodes.sparkSession)}/thread-levels-{uuid.uuid4().hex}"
-    paths = [f"{base}/0"]
-    level = written(roots.select("node", "parent", F.col("node").alias("root"), F.lit(0).alias("level"), padded("node").alias("path")), "thread-level", paths[0])
-    while not level.isEmpty():
-        depth = len(paths)
-        up = level.select(F.col("node").alias("parent"), "root", F.col("path").alias("up"))
-        paths.append(f"{base}/{depth}")
-        level = written(n.join(up, "parent").select("node", "parent", "root", F.lit(depth).alias("level"), F.concat_ws("/", "up", padded("node")).alias("path")), "thread-level", paths[-1])
-    done = nodes.sparkSession.read.schema(level.schema).parquet(*paths)
-    return done.withColumn("is_reply", F.col("level") > 0)
+    known = n.select(F.col("node").alias("_known"))
+    padded = F.lpad(F.col("node").cast("string"), 20, "0")
+    start = n.join(known, F.col("parent") == F.col("_known"), "left")
+    stretch = start.select("node", "parent", F.col("node").alias("top"), F.col("_known").alias("above"), F.lit(1).alias("size"), padded.alias("path"))
+    stretch = written(stretch, "thread-stretches")
+    before, left = stretch.count(), stretch.where("above IS NOT NULL").count()
+    # A tree deeper than the last round's stretches has nodes of every depth, so each round completes some until all are complete.
+    while 0 < left < before:
+        upper = stretch.select(F.col("node").alias("_n"), F.col("top").alias("_top"), F.col("above").alias("_above"), F.col("size").alias("_size"), F.col("path").alias("_path"))
+        joined = stretch.where("above IS NOT NULL").join(upper, F.col("above") == F.col("_n"))
+        longer = joined.select("node", "parent", F.col("_top").alias("top"), F.col("_above").alias("above"), (F.col("size") + F.col("_size")).alias("size"), F.concat_ws("/", "_path", "path").alias("path"))
+        stretch = written(stretch.where("above IS NULL").unionByName(longer), "thread-stretches")
+        before, left = left, stretch.where("above IS NOT NULL").count()
+    done = stretch.where("above IS NULL")
+    level = F.col("size") - 1
+    return done.select("node", "parent", F.col("top").alias("root"), level.alias("level"), "path", (level > 0).alias("is_reply"))
 
 
 def level_summary(flat: DataFrame) -> DataFrame:

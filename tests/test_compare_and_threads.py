@@ -37,3 +37,12 @@ def test_a_thread_deeper_than_64_levels_is_whole(spark):
     df = spark.createDataFrame([(i, i - 1 if i > 1 else None) for i in range(1, 68)], "id long, parent long")
     got = {r.node: (r.root, r.level) for r in threads.flattened(df, "id", "parent").select("node", "root", "level").collect()}
     assert got == {i: (1, i - 1) for i in range(1, 68)}
+
+
+def test_a_deep_chain_comes_out_whole(spark):
+    chain = spark.range(1, 1001).selectExpr("id node", "id - 1 parent")
+    loop = spark.createDataFrame([(2001, 2002), (2002, 2001), (2003, 2001)], "node long, parent long")
+    got = {r.node: r for r in threads.flattened(chain.unionByName(loop), "node", "parent").collect()}
+    assert set(got) == set(range(1, 1001))
+    assert got[1000].level == 999 and got[1000].root == 1 and not got[1].is_reply
+    assert [r.node for r in sorted(got.values(), key=lambda r: r.path)] == list(range(1, 1001))
