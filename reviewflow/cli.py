@@ -13,6 +13,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame
 
 from reviewflow import keys, naming, pipeline, sinks
+from reviewflow.conf import load
 from reviewflow.operators import identity
 from reviewflow.sources.paths import supported
 from reviewflow.storage import written
@@ -37,11 +38,15 @@ def parser() -> argparse.ArgumentParser:
             s.add_argument("--confirm-overwrite", type=Path, action="append", default=[])
         return s
 
+    def configured(s: argparse.ArgumentParser) -> argparse.ArgumentParser:
+        s.add_argument("--config", type=Path, help="a configuration file; it must say what the package does")
+        return s
+
     stage("inventory", many=True, output=False)
     stage("merge", many=True).add_argument("--add-source-columns", action="store_true")
-    stage("preprocess", many=True).add_argument("--platform")
+    configured(stage("preprocess", many=True)).add_argument("--platform")
     stage("strip-replies").add_argument("--target-header", default="content")
-    s = stage("standardize")
+    s = configured(stage("standardize"))
     s.add_argument("--platform")
     s.add_argument("--project-name")
     s.add_argument("--project-id")
@@ -52,7 +57,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--source", type=Path)
     s.add_argument("--reference-date", type=date.fromisoformat)
     stage("filter").add_argument("--keyword", action="append", required=True)
-    s = stage("clean")
+    s = configured(stage("clean"))
     s.add_argument("--target-header", required=True)
     s.add_argument("--platform", required=True)
     s.add_argument("--clean-word", action="append", default=[])
@@ -92,6 +97,8 @@ def main(argv: list[str] | None = None) -> int:
         raise SystemExit("platform and project go together")
     if a.stage == "clean" and (a.target_header != "评论内容" or not a.platform.strip()):
         raise SystemExit("cleaning needs --target-header 评论内容 and a platform")
+    if getattr(a, "config", None):
+        load.agreed({"preprocess": "platforms", "standardize": "headers", "clean": "cleaning"}[a.stage], a.config, a.config)
     spark = _session()
     if a.stage == "inventory":
         show(pipeline.inventory(spark, a.inputs))
