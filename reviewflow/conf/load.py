@@ -128,8 +128,7 @@ def _platform(v: Any, at: str) -> None:
         raise _wrong(at, "an object is needed")
     text(v.get("namespace"), f"{at}.namespace")
     texts()(v.get("aliases", []), f"{at}.aliases")
-    variants = v.get("variants")
-    if not isinstance(variants, list) or not variants:
+    if "variants" in v and (not isinstance(v["variants"], list) or not v["variants"]):
         raise _wrong(f"{at}.variants", "a list of objects is needed")
 
 
