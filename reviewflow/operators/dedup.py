@@ -54,10 +54,34 @@ def cleared_cells(rows: DataFrame, sheet: list[str], order: list[str], columns:
     cells = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(c).alias("_col"), F.col(f"`{c}`").alias("value")) for i, c in enumerate(columns))))
     each = rows.select(*sheet, *order, cells.alias("_c")).select(*sheet, *order, "_c.*").withColumn("_t", nonblank(F.col("value"))).where("_t IS NOT NULL")
     short = F.length("_t") < least
-    later = W.partitionBy(*sheet, "_t", short).orderBy(*(F.desc(o) for o in order), F.desc("i"))
+    # Of equal texts the last stays. A maximum per text and its digest travel, never all rows of a hot text.
+    each = each.withColumns({"_short": short, "_k1": F.xxhash64("_t"), "_k2": F.xxhash64("_t", F.lit(1)), "_own": F.struct(*order, "i")})
+    key = [*sheet, "_k1", "_k2"]
+    last = each.where(~F.col("_short")).groupBy(*key).agg(F.max("_own").alias("_last")).withColumnsRenamed({k: f"_l{i}" for i, k in enumerate(key)})
+    same = [F.col(k).eqNullSafe(F.col(f"_l{i}")) if k in sheet else F.col(k) == F.col(f"_l{i}") for i, k in enumerate(key)]
+    both = each.join(last, same, "left")
     named = lambda text: F.concat(F.lit(f"{text}: "), "_col")
-    reason = F.when(short, named(f"子评论长度小于 {least}")).when(F.row_number().over(later) > 1, named("同一工作表内重复子评论"))
-    return each.withColumn("reason", reason).where("reason IS NOT NULL").withColumn("value", F.col("_t")).drop("_t", "i")
+    reason = F.when(F.col("_short"), named(f"子评论长度小于 {least}")).when(~F.col("_own").eqNullSafe(F.col("_last")), named("同一工作表内重复子评论"))
+    out = both.withColumn("reason", reason).where("reason IS NOT NULL").withColumn("value", F.col("_t"))
+    return out.select(*sheet, *order, "_col", "value", "reason")
+
+
+def numbered(rows: DataFrame, sheet: list[str], order: list[str], name: str, first: int) -> DataFrame:
+    """Rows with their number within their sheet by ``order``, from ``first`` on, without a window over a sheet.
+
+    Rows are sorted in range partitions; a row's number is its place in its part of the sheet plus the sizes of the sheet's parts in
+    the partitions before, which are as many as partitions and sheets.
+    """
+    spark = rows.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = rows.repartitionByRange(parts, *sheet, *order).sortWithinPartitions(*sheet, *order)
+    placed = written(ranged.withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))}), "numbered-rows")
+    sizes = placed.groupBy(*sheet, "_part").agg(F.min("_at").alias("_start"), F.count("*").alias("_size"))
+    before = F.coalesce(F.sum("_size").over(W.partitionBy(*sheet).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    offsets = sizes.withColumn("_before", before).select(*(F.col(c).alias(f"_o_{c}") for c in sheet), F.col("_part").alias("_o_part"), "_start", "_before")
+    same = [F.col("_part") == F.col("_o_part"), *(F.col(c).eqNullSafe(F.col(f"_o_{c}")) for c in sheet)]
+    out = placed.join(offsets, same).withColumn(name, F.col("_at") - F.col("_start") + F.col("_before") + first)
+    return out.drop("_part", "_at", "_start", "_before", "_o_part", *(f"_o_{c}" for c in sheet))
 
 
 def clear_subcomments(rows: DataFrame, sheet: list[str], order: list[str], columns: tuple[str, ...] = SUBCOMMENTS) -> DataFrame:
@@ -85,7 +109,7 @@ def event_log(rows: DataFrame, sheet: list[str], order: list[str], comment: str,
         F.lit("delete_row").alias("action"), *sheet, F.col(row_number).cast("long").alias("row_number"), F.lit("").alias("column_header"),
         F.col("_reason").alias("reason"), F.col(f"`{comment}`").alias("value"),
     )
-    kept = marked.where("_reason IS NULL").withColumn("_new", F.row_number().over(W.partitionBy(*sheet).orderBy(*order)) + 1)
+    kept = numbered(marked.where("_reason IS NULL"), sheet, order, "_new", 2)
     cells = cleared_cells(kept, sheet, ["_new"])
     cleared = cells.select(F.lit("clear_cell").alias("action"), *sheet, F.col("_new").cast("long").alias("row_number"), F.col("_col").alias("column_header"), "reason", "value")
     return deleted.unionByName(cleared)

@@ -9,7 +9,6 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
 from reviewflow import sinks
 from reviewflow.conf import values as V
@@ -83,8 +82,7 @@ def clean(t: DataFrame, target: str = "评论内容", platform: str | None = Non
         F.lit("delete_row").alias("action"), sheet, F.col("_row").alias("row_number"), F.lit("").alias("column_header"), F.col("_reason").alias("reason"), dedup.stripped_comment(F.col(f"`{c}`")).alias("value")
     )
     if subs:
-        numbered = kept.withColumn("_new", F.row_number().over(W.partitionBy(*SHEET).orderBy("_row")) + 1)
-        cells = dedup.cleared_cells(numbered, [*SHEET, "_sheet"], ["_new"], subs)
+        cells = dedup.cleared_cells(dedup.numbered(kept, SHEET, ["_row"], "_new", 2), [*SHEET, "_sheet"], ["_new"], subs)
         log = log.unionByName(cells.select(F.lit("clear_cell").alias("action"), sheet, F.col("_new").cast("long").alias("row_number"), F.col("_col").alias("column_header"), "reason", "value"))
     return out, log
 

@@ -48,3 +48,15 @@ def test_events_use_both_row_numbers(comments):
     assert ("delete_row", "B", 4, "", "评论长度小于 8", "坏") in log
     assert ("clear_cell", "A", 2, "三级评论", "子评论长度小于 6: 三级评论", "short") in log
     assert dedup.event_log(comments.limit(0), ["sheet"], ["row_number"], "c", "likes", "row_number").count() == 0
+
+
+def test_rows_are_numbered_across_partitions(spark):
+    from reviewflow.operators import dedup
+
+    rows = spark.range(5000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 7 = 0 THEN NULL ELSE concat('s', id % 5) END sheet", "id * 7 % 5003 o")
+    got = dedup.numbered(rows, ["sheet"], ["o"], "n", 2).collect()
+    assert len(got) == 5000
+    for sheet in {r.sheet for r in got}:
+        own = sorted((r.o, r.n) for r in got if r.sheet == sheet)
+        assert [n for _, n in own] == list(range(2, len(own) + 2))
+    assert dedup.numbered(rows.limit(0), ["sheet"], ["o"], "n", 2).count() == 0
