@@ -70,4 +70,25 @@ SELECT file_id, CASE WHEN a IS NULL THEN 'added' WHEN b IS NULL THEN 'removed' E
 UNION ALL SELECT new.file_id, 'retyped', new.k, new.k FROM new JOIN old ON old.file_id = new.file_id AND old.k = new.k WHERE new.t <> old.t
 """
 
-ORACLES = {"p6_found": P6_FOUND}
+#: First delivery of each record, its values as text and JSON type, and the output field of each header.
+_VALUES = f"""
+once AS (SELECT * FROM raw_exports QUALIFY row_number() OVER (PARTITION BY file_id, row_no ORDER BY received_at, record_id) = 1),
+kv AS (SELECT file_id, record_id, payload, unnest(json_keys(payload)) AS header FROM once WHERE json_valid(payload)),
+j AS (SELECT file_id, record_id, header, json_extract(payload, '$."' || header || '"') AS v FROM kv),
+t AS (SELECT file_id, record_id, header, json_type(v) AS ty, CASE WHEN json_type(v) = 'NULL' THEN NULL WHEN json_type(v) = 'VARCHAR' THEN v ->> '$' ELSE CAST(v AS VARCHAR) END AS text FROM j),
+plat AS (SELECT namespace, {_BARE.format(c="unnest(header_signature)")} AS b, unnest(mapped_headers) AS o FROM platform_preprocessing),
+plat1 AS (SELECT namespace, b, min(o) AS o FROM plat GROUP BY ALL),
+al AS (SELECT header AS o, {_BARE.format(c="unnest(aliases)")} AS b FROM header_standardizer), al1 AS (SELECT b, min(o) AS o FROM al GROUP BY b),
+m AS (SELECT t.file_id, t.record_id, t.header, CASE WHEN f.namespace IN (SELECT namespace FROM platform_preprocessing) THEN p.o ELSE a.o END AS field, t.text,
+ CASE ty WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'ARRAY' THEN 'array' WHEN 'OBJECT' THEN 'object' WHEN 'NULL' THEN NULL ELSE 'number' END AS json_type
+ FROM t LEFT JOIN export_files f USING (file_id) LEFT JOIN plat1 p ON p.namespace = f.namespace AND p.b = {_BARE.format(c="t.header")} LEFT JOIN al1 a ON a.b = {_BARE.format(c="t.header")})"""
+
+P6_CAST_REPORT = f"""
+WITH {_VALUES}
+SELECT file_id, header, field, json_type, count(*) AS n_values,
+ count(*) FILTER ((field = '电商平台评分' AND try_cast(replace(trim(text, ' '), ',', '') AS DOUBLE) IS NULL)
+ OR (field IN ('点赞数', '子评论数/追评数') AND try_cast(replace(trim(text, ' '), ',', '') AS DECIMAL(38, 0)) IS NULL)) AS n_failed
+FROM m WHERE text IS NOT NULL GROUP BY ALL
+"""
+
+ORACLES = {"p6_found": P6_FOUND, "p6_cast_report": P6_CAST_REPORT}
