@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import os
 import subprocess
 import sys
 import zipfile
+from pathlib import Path
 from types import SimpleNamespace
 
+import pytest
+
 from reviewflow import storage
 
+ROOT = Path(__file__).resolve().parent.parent
+
 
 def test_every_module_comes_from_the_zip_alone():
     got = []
@@ -18,3 +24,29 @@ def test_every_module_comes_from_the_zip_alone():
     code = f"import importlib, sys; sys.path.insert(0, {got[0]!r}); [importlib.import_module(m) for m in {modules!r}]; assert sys.modules['reviewflow'].__file__.startswith({got[0]!r})"
     ran = subprocess.run([sys.executable, "-I", "-c", code], capture_output=True, text=True, timeout=300)
     assert ran.returncode == 0, ran.stderr[-2000:]
+
+
+RUN = """
+import sys
+sys.path.insert(0, {root!r})  # of this process only; the workers get what is shipped
+from pyspark.sql import SparkSession
+from reviewflow.operators import identity
+from reviewflow.plans import catalog
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").getOrCreate()
+spark.createDataFrame([(1, "Customer#1"), (2, " Ü 名 "), (3, "  "), (4, None)], "c_custkey long, c_name string").write.parquet("customer.parquet")
+for name, platform, display, values in (("hash_account", "youtube", False, "1234"), ("hash_display", "bilibili", True, ["Customer#1", "Ü 名", None, None])):
+    got = {{r.c_custkey: r.hash for r in getattr(catalog, name)(spark, ".").collect()}}
+    assert got == {{i: v and identity.pseudonym(v, catalog.TEST_PROJECT, platform, display) for i, v in enumerate(values, 1)}}, (name, got)
+    print(name, "equal")
+"""
+
+
+@pytest.mark.parametrize("name", ["hash_account", "hash_display"])
+def test_digests_by_workers_outside_the_repository(ran_outside, name):
+    assert f"{name} equal" in ran_outside.stdout, ran_outside.stderr[-2000:]
+
+
+@pytest.fixture(scope="module")
+def ran_outside(tmp_path_factory):
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    return subprocess.run([sys.executable, "-c", RUN.format(root=str(ROOT))], cwd=tmp_path_factory.mktemp("outside"), env=env, capture_output=True, text=True, timeout=600)
