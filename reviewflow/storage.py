@@ -7,8 +7,10 @@ import os
 import re
 import shutil
 import tempfile
+import threading
 import uuid
 import zipfile
+from functools import cache
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,19 +42,32 @@ def written(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-_shipped: set[str] = set()
+#: The mark is on the application's context: a copy of this module that is imported anew must find it, for executors take no second file of one name.
+SHIPPED = "_reviewflow_shipped"
+_shipping = threading.Lock()
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Give the executors' Python this package once per application, so that nothing needs to be installed there."""
-    app = spark.sparkContext.applicationId
-    if app in _shipped:
-        return
+@cache
+def _package() -> dict[str, bytes]:
     root = Path(__file__).resolve().parent
-    target = Path(tempfile.mkdtemp(prefix="reviewflow-zip-")) / "reviewflow.zip"
-    with zipfile.ZipFile(target, "w") as z:
-        for p in sorted(root.rglob("*")):
-            if p.suffix in (".py", ".json"):
-                z.write(p, os.path.join("reviewflow", p.relative_to(root)))
-    spark.sparkContext.addPyFile(str(target))
-    _shipped.add(app)
+    return {os.path.join("reviewflow", p.relative_to(root)): p.read_bytes() for p in sorted(root.rglob("*")) if p.suffix in (".py", ".json")}
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python this package once per application, so that nothing needs to be installed there.
+
+    A package that was changed since then and imported anew is an error: executors would go on with the former one.
+    """
+    context = spark.sparkContext
+    with _shipping:
+        before = getattr(context, SHIPPED, None)
+        if before is not None:
+            if before != _package():
+                raise RuntimeError("reviewflow was changed after it was given to the executors of this application; start a new one")
+            return
+        target = Path(tempfile.mkdtemp(prefix="reviewflow-zip-")) / "reviewflow.zip"
+        with zipfile.ZipFile(target, "w") as z:
+            for name, content in _package().items():
+                z.writestr(name, content)
+        context.addPyFile(str(target))
+        setattr(context, SHIPPED, _package())
