@@ -13,6 +13,7 @@ a word of one script then costs what letters of its alphabet cost, after a cost
 
 Sizes: the model is bounded by its parameters (Unicode, 2^19 bigram cells). EM's steps are aggregations in Spark over a histogram
 of (source, field, evidence of all chains in bins); the shares, one row for each source, field and chain, are written in each round.
+Texts are searched for chains in groups of TOGETHER characters, a longer text alone; a text's evidence does not depend on its group.
 
 Defined results
 * null, empty and pure ASCII texts are clean; replacement, private-use and control characters are evidence of a chain of their
@@ -26,6 +27,7 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -75,6 +77,8 @@ RARER = 1 / 3
 LOST = -6.0
 #: A gain (nats) from which other chains need not be tried.
 CERTAIN = 120.0
+#: How many characters are searched for chains together.
+TOGETHER = 1 << 13
 #: What each chain but the first costs in a composition.
 COMPOSED = -6.0
 
@@ -95,6 +99,12 @@ def _high(codec: str) -> dict[str, int]:
     return out
 
 
+@lru_cache(maxsize=1)
+def _code_page_letters() -> frozenset[str]:
+    """The characters that any single-byte codec has beyond ASCII."""
+    return frozenset(c for w in SINGLE for c in _high(w) if c > "\x7f")
+
+
 @lru_cache(maxsize=64)
 def _table(codec: str) -> dict[int, int]:
     """For str.translate: characters of the codec to characters of the byte's number (latin-1)."""
@@ -139,6 +149,24 @@ def _disguised() -> re.Pattern:
     return re.compile("|".join(out))
 
 
+@lru_cache(maxsize=1)
+def _signing() -> np.ndarray:
+    """Characters of which every text has one that has a bare sign of garbling: those that each branch of the two patterns asks for."""
+    out = np.zeros(SIZE, dtype=bool)
+    for lo, hi in ((0x80, 0x100), (0x370, 0x500), (0xE000, 0xF900), (0xFF66, 0xFFA0)):
+        out[lo:hi] = True
+    for c in "�縺繧繝" + "".join(c for w in ("cp1252", "cp1251", "mac_roman", "cp437", "koi8_r") for c, b in _high(w).items() if b == 0xC3 or b >> 4 == 0xE):
+        out[ord(c)] = True
+    return out
+
+
+def _unsigned(texts: list[str]) -> list[str]:
+    """The texts without bare signs of garbling; the patterns look only at those that may have one."""
+    points, offsets = flat(texts)
+    may = np.diff(np.concatenate([[0], np.cumsum(_signing()[points])])[offsets]) > 0
+    return [t for t, m in zip(texts, may.tolist(), strict=True) if not (m and (_SIGNS.search(t) or _disguised().search(t)))]
+
+
 # ---- character model -------------------------------------------------------------------------------------------------
 
 
@@ -239,7 +267,7 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     fold, kind = _fold(), _kind()
     for b in batches:
         for col in b.columns:
-            texts = [t for t in col.to_pylist() if t and (t.isascii() or not (_SIGNS.search(t) or _disguised().search(t)))]
+            texts = _unsigned([t for t in col.to_pylist() if t])
             if texts:
                 points, offsets = flat(texts)
                 signs = np.concatenate([[0], np.cumsum(_paired_utf8(points))])[offsets]
@@ -405,10 +433,12 @@ def _lost() -> np.ndarray:
 
 def _decoded(raw: bytes, codec: str) -> tuple[str, int]:
     """The text of some bytes, and how many bytes gave none."""
-    try:
+    s = raw.decode(codec, "replace")
+    if "�" not in s:
+        return s, 0
+    try:  # the character of replacement may stand in the bytes themselves
         return raw.decode(codec), 0
     except UnicodeDecodeError:
-        s = raw.decode(codec, "replace")
         return s.replace("�", ""), s.count("�")
 
 
@@ -425,38 +455,33 @@ _FOREIGN_WORD = re.compile(r"[^\W\d_]+")
 class _Text:
     """A text with the cost of its characters as they stand, so that any span is scored by a difference."""
 
-    def __init__(self, text: str, model: CharModel) -> None:
-        self.text, self.model = text, model
-        p = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        before = np.concatenate([[np.uint32(10)], p[:-1]])
-        score = model.scores(p, before)
-        low = (p > 127) & (score < UNLIKELY) & ~_plain()[p]
-        self.low = np.concatenate([[0], np.cumsum(low)]).tolist()
-        lost = _lost()[p]
-        like = _alike()[p]
-        other = like != p
-        if other.any():
-            score = np.maximum(score, model.scores(like, np.concatenate([[np.uint32(10)], like[:-1]])) + ALIKE * other)
-        script = _script()[p]
-        switch = np.concatenate([[False], (script[1:] != script[:-1]) & (script[1:] > 0) & (script[:-1] > 0)])
-        # An ideograph of a language that the corpus hardly has stands among others.
-        east = _ideograph()[p] > 0
-        alone = east & ~np.concatenate([[False], east[:-1]]) & ~np.concatenate([east[1:], [False]])
-        score = np.maximum(score, np.where(switch | alone, SWITCH, _floor()[p]))
-        kind = _kind()
-        letter = LETTER + model.case[3 * kind[before] + kind[p]] + np.where(switch, SWITCH, 0.0)
+    def __init__(self, text: str, low: list[int], score: np.ndarray, letter: np.ndarray, lost: np.ndarray | None) -> None:
+        self.text, self.low = text, low
         cost = self._settled(score, letter)
-        self.lost = float((LOST - cost[lost]).sum()) if lost.any() else 0.0
+        self.lost = float((LOST - cost[lost]).sum()) if lost is not None else 0.0
         self.cost = np.concatenate([[0.0], np.cumsum(cost)]).tolist()
         self._runs: dict[re.Pattern, list[tuple[int, int, str]]] = {}
+        self._words: str | None = None
+        self._letters: set[str] | None = None
+        self.chars = set(text)
+        odd = self.chars & _code_page_letters()
+        #: The bytes of the text's characters in each single-byte codec that has any of them.
+        self.own = {w: [high[c] for c in odd if c in high] for w in SINGLE for high in (_high(w),)}
+        #: What pieces are scored so far: how many bytes each loses, its characters with those beside it, and their scores.
+        self.pieces: dict[tuple[int, int, str], int] = {}
+        self.sizes: list[int] = []
+        self.scores = np.empty(0, dtype=np.float32)
 
     def _settled(self, score: np.ndarray, letter: np.ndarray) -> np.ndarray:
         """The cheapest reading: words of the corpus's languages, or stretches of words that just are letters of an alphabet."""
-        words = [m.span() for m in _FOREIGN_WORD.finditer(self.text)]
-        words = [(a, z) for a, z in words if self.text[a] < "⺀"]
-        if not any(self.low[z] != self.low[a] for a, z in words):
+        text, low = self.text, self.low
+        if not low[-1]:
             return score
-        own, free = np.concatenate([[0.0], np.cumsum(score)]), np.concatenate([[0.0], np.cumsum(letter)])
+        words = [m.span() for m in _FOREIGN_WORD.finditer(text)]
+        words = [(a, z) for a, z in words if text[a] < "⺀"]
+        if not any(low[z] != low[a] for a, z in words):
+            return score
+        own, free = (np.concatenate([[0.0], np.cumsum(x)]).tolist() for x in (score, letter))
         # Two states by word: at home, or abroad since some word; costs are log likelihoods.
         home, abroad, came = 0.0, -1e9, []
         for a, z in words:
@@ -472,7 +497,7 @@ class _Text:
                 whole = free[z] - free[a] + (FOREIGN if enter else 0.0)
                 odd = np.flatnonzero(score[a:z] < UNLIKELY) + a
                 if len(odd):  # what is unlikely bears what the word costs more, so that undoing it gains that
-                    out[odd] = (whole - (own[z] - own[a] - score[odd].sum())) / len(odd)
+                    out[odd] = (whole - (own[z] - own[a] - float(score[odd].sum()))) / len(odd)
                 else:
                     out[a:z] = whole / (z - a)
                 state = int(not enter)
@@ -484,40 +509,81 @@ class _Text:
         """The runs of a pattern that hold something unlikely; chains of one kind share them."""
         if pattern not in self._runs:
             low, spans = self.low, (m.span() for m in pattern.finditer(self.text))
-            self._runs[pattern] = [(a, z, self.text[a:z]) for a, z in spans if low[z] != low[a]]
+            self._runs[pattern] = [(a, z, self.text[a:z]) for a, z in spans if low[z] != low[a]] if low[-1] else []
         return self._runs[pattern]
 
+    def words(self) -> str:
+        """The words that hold something unlikely, one a line."""
+        if self._words is None:
+            self._words = "\n".join([run for _, _, run in self.runs(_WORD)])
+        return self._words
+
+    def letters(self) -> set[str]:
+        """The characters of those words."""
+        if self._letters is None:
+            self._letters = set(self.words())
+        return self._letters
+
+
+def _texts(texts: list[str], model: CharModel) -> list[_Text]:
+    """Texts with the costs of their characters, which are scored all at once."""
+    p, at = flat(texts)
+    starts = at[:-1][at[:-1] < len(p)]
+    before = _before(p, starts)
+    score = model.scores(p, before)
+    low = np.concatenate([[0], np.cumsum((p > 127) & (score < UNLIKELY) & ~_plain()[p])])
+    lost, like = _lost()[p], _alike()[p]
+    other = like != p
+    # Only a look-alike and what follows it can score better by the form that it looks like.
+    near = np.flatnonzero(other | np.concatenate([[False], other[:-1]]))
+    score = score.astype(np.float64)
+    score[near] = np.maximum(score[near], model.scores(like[near], _before(like, starts)[near]) + ALIKE * other[near])
+    script, east = _script()[p], _ideograph()[p] > 0
+    switch = np.concatenate([[False], (script[1:] != script[:-1]) & (script[1:] > 0) & (script[:-1] > 0)])
+    # An ideograph of a language that the corpus hardly has stands among others.
+    left, right = np.concatenate([[False], east[:-1]]), np.concatenate([east[1:], [False]])
+    switch[starts], left[starts], right[starts[1:] - 1] = False, False, False
+    score = np.maximum(score, np.where(switch | (east & ~left & ~right), SWITCH, _floor()[p]))
+    kind = _kind()
+    letter = LETTER + model.case[3 * kind[before] + kind[p]] + np.where(switch, SWITCH, 0.0)
+    some_lost, some_other = (np.diff(np.concatenate([[0], np.cumsum(x)])[at]) > 0 for x in (lost, other))
+    out = []
+    for text, a, z, is_lost, is_other in zip(texts, at[:-1].tolist(), at[1:].tolist(), some_lost.tolist(), some_other.tolist(), strict=True):
+        own = score[a:z] if is_other else score[a:z].astype(np.float32)
+        out.append(_Text(text, (low[a : z + 1] - low[a]).tolist(), own, letter[a:z], lost[a:z] if is_lost else None))
+    return out
+
 
 #: A piece of a text that a chain would change: its span, what it becomes, and how many bytes give nothing.
 _Piece = tuple[int, int, str, int]
 
 
-def _candidates(t: _Text, only: str | None = None) -> Iterator[tuple[str, list[_Piece]]]:
-    """(chain, pieces) for every chain, or one, that would change the text."""
-    odd = [c for c in set(t.text) if ord(c) > 127]
-    own = {w: [_high(w)[c] for c in odd if c in _high(w)] for w in SINGLE}
-    east = any(ord(c) > 0x2E7F for c in odd)
+def _utf8_chains(t: _Text, only: str | None = None) -> Iterator[tuple[str, list[_Piece]]]:
+    """(chain, pieces) for every chain, or one, whose bytes must be valid UTF-8."""
     for w in SINGLE:
-        if own[w] and max(own[w]) >= 0xC2 and min(own[w]) < 0xC0:
+        own = t.own[w]
+        if own and max(own) >= 0xC2 and min(own) < 0xC0:
             if only in (None, f"utf-8>{w}"):
                 yield f"utf-8>{w}", _changed(t, _utf8_in(w), lambda s, k=_table(w): _decoded(s.translate(k).encode("latin-1"), "utf-8"))
             if w in ("cp1252", "mac_roman") and only in (None, f"utf-8>{w} twice"):
                 yield f"utf-8>{w} twice", _changed(t, _utf8_in(w), lambda s, w=w: _twice(s, w))
-    if only is None:
-        yield "", []  # the end of the chains whose bytes must be valid UTF-8
+
+
+def _other_chains(t: _Text, only: str | None = None) -> Iterator[tuple[str, list[_Piece]]]:
+    """(chain, pieces) for every other chain, or one, that would change the text."""
     for w in ("cp1252", "mac_roman", "cp1251", "cp850", "koi8_r"):
-        if len(own[w]) > 1:
+        if len(t.own[w]) > 1:
             raw = {run: run.translate(_table(w)).encode("latin-1", "ignore") for _, _, run in t.runs(_wide_in(w))}
             for to in WIDE if raw else ():
                 if only in (None, f"{to}>{w}"):
                     yield f"{to}>{w}", _changed(t, _wide_in(w), lambda s, raw=raw, c=to: _widened(raw[s], len(s), c))
-    for w in WIDE if east else ():
+    for w in WIDE if max(t.chars) > "\u2e7f" else ():
         raw = {run: _encoded(run, w) for _, _, run in t.runs(_CHUNK)}
         for to in ("utf-8", *WIDE) if any(raw.values()) else ():
             if to != w and only in (None, f"{to}>{w}"):
                 yield f"{to}>{w}", _changed(t, _CHUNK, lambda s, raw=raw, c=to: _wide(raw[s], c))
     for w, tos in _LETTERWISE.items():
-        if own[w]:
+        if t.own[w]:
             for to in tos:
                 if only in (None, f"{to}>{w}"):
                     yield f"{to}>{w}", _letterwise(t, to, w)
@@ -545,12 +611,18 @@ def _letter_table(t: str, w: str) -> dict[int, str]:
     return out
 
 
+@lru_cache(maxsize=64)
+def _turned(t: str, w: str) -> frozenset[str]:
+    """The characters of w that are others in t."""
+    return frozenset(chr(x) for x, y in _letter_table(t, w).items() if chr(x) != y)
+
+
 def _letterwise(t: _Text, to: str, w: str) -> list[_Piece]:
     """Each run with the bytes of its letters read in the other codec; all runs are translated at once."""
     runs = t.runs(_WORD)
-    if not runs:
+    if not runs or t.letters().isdisjoint(_turned(to, w)):
         return []
-    made = "\n".join(run for _, _, run in runs).translate(_letter_table(to, w)).split("\n")
+    made = t.words().translate(_letter_table(to, w)).split("\n")
     cyrillic = to in ("cp1251", "koi8_r", "cp866")
     pieces = zip(runs, made, strict=True)
     return [(a, z, s, 0) for (a, z, run), s in pieces if s != run and "�" not in s and not (cyrillic and not _CYRILLIC.fullmatch(s))]
@@ -579,20 +651,35 @@ def _wide(raw: bytes | None, t: str) -> tuple[str, int] | None:
     return (out, lost) if lost * 8 <= len(raw) + 8 else None
 
 
-def _gains(t: _Text, chains: list[tuple[str, list[_Piece]]]) -> dict[tuple[int, int, str], float]:
-    """The gain of every piece, each scored once where it stands: after the character before it, and with the one that follows."""
-    text = t.text
-    keys = list({(a, z, s): n for _, pieces in chains for a, z, s, n in pieces}.items())
-    followed = [s + text[z : z + 1] for (_, z, s), _ in keys]
-    p = np.frombuffer("\n".join(followed).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    ends = np.cumsum([len(s) + 1 for s in followed])
-    starts = ends - [len(s) + 1 for s in followed]
+def _gains(asked: list[tuple[_Text, list[tuple[str, list[_Piece]]]]], model: CharModel) -> list[dict[tuple[int, int, str], float]]:
+    """The gain of every piece of each text's chains and of those asked for before, each scored once where it stands: after the
+    character before it, and with the one that follows. The pieces of all texts are scored at once."""
+    followed, firsts, begun = [], [], []
+    for t, chains in asked:
+        text, known = t.text, len(t.pieces)
+        t.pieces.update([((a, z, s), n) for _, pieces in chains for a, z, s, n in pieces])
+        new = [*islice(t.pieces, known, None)]
+        parts = [f"{s}{text[z : z + 1]}\n" for _, z, s in new]
+        followed += parts
+        firsts += [ord(text[a - 1]) if a else 10 for a, _, _ in new]
+        begun.append(len(t.sizes))
+        t.sizes += map(len, parts)
+    p = np.frombuffer("".join(followed).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     before = np.concatenate([[np.uint32(10)], p[:-1]])
-    before[starts] = [ord(text[a - 1]) if a else 10 for (a, _, _), _ in keys]
-    score = np.concatenate([[0.0], np.cumsum(t.model.scores(p, before))])
-    score = (score[ends - 1] - score[starts]).tolist()
-    last = len(text)
-    return {k: x - 7.0 * n - (t.cost[min(k[1] + 1, last)] - t.cost[k[0]]) for (k, n), x in zip(keys, score, strict=True)}
+    before[np.cumsum([0, *map(len, followed)])[:-1]] = firsts
+    scores = model.scores(p, before)
+    out, at = [], 0
+    for (t, _), k in zip(asked, begun, strict=True):
+        size = sum(t.sizes[k:])
+        t.scores = np.concatenate([t.scores, scores[at : at + size]])
+        at += size
+        cost, last = t.cost, len(t.text)
+        ends = np.cumsum(t.sizes)
+        starts = ends - t.sizes
+        score = np.concatenate([[0.0], np.cumsum(t.scores)])
+        score = (score[ends - 1] - score[starts]).tolist()
+        out.append({k: x - 7.0 * n - (cost[min(k[1] + 1, last)] - cost[k[0]]) for (k, n), x in zip(t.pieces.items(), score, strict=True)})
+    return out
 
 
 def _best(pieces: list[_Piece], gains: dict[tuple[int, int, str], float]) -> tuple[float, list[_Piece]]:
@@ -613,48 +700,66 @@ def _replaced(text: str, pieces: list[_Piece]) -> str:
     return "".join(out) + text[at:]
 
 
-def evidence(text: str, model: CharModel) -> tuple[list[tuple[float, str]], str]:
-    """(gain, chain) of every chain that would change a text, and the text by the best of them.
+class _Search:
+    """How far a text's chains are undone."""
+
+    def __init__(self, now: _Text) -> None:
+        self.now, self.prefix, self.total = now, "", 0.0
+        self.found = [(now.lost, "lost")] if now.lost else []
+        self.chains: list[tuple[str, list[_Piece]]] = []
+
+    def explained(self, gains: dict[tuple[int, int, str], float]) -> bool:
+        """Whether bytes of valid UTF-8 explain everything, so that no other chain comes near."""
+        top, pieces = max((_best(x, gains) for _, x in self.chains), key=lambda b: b[0])
+        low = self.now.low
+        return top > CERTAIN and sum(low[z] - low[a] for a, z, _, _ in pieces) == low[-1]
+
+    def step(self, gains: dict[tuple[int, int, str], float]) -> str | None:
+        """Notes what the chains gain; the text by the best of them, if undoing goes on from there."""
+        cost = COMPOSED if self.prefix else 0.0
+        best = [_best(pieces, gains) for _, pieces in self.chains]
+        step = [(self.total + cost + b[0], self.prefix + c) for (c, _), b in zip(self.chains, best, strict=True)]
+        k = max(range(len(step)), key=step.__getitem__)
+        top = step[k]
+        if self.prefix and top[0] <= self.total:
+            return None
+        self.found += [x for x in step if not self.prefix or x[0] > self.total]
+        if top[0] <= self.total:
+            return None
+        self.total, self.prefix = top[0], f"{top[1]}+"
+        return _replaced(self.now.text, best[k][1])
+
+
+def evidence(texts: list[str], model: CharModel) -> list[tuple[list[tuple[float, str]], str]]:
+    """For each text (gain, chain) of every chain that would change it, and the text by the best of them.
 
     Chains one after the other: whatever is left unlikely after the best chain is undone again, for as long as that gains; every
     such composition is a chain too. Each step must make the text as it stands likelier, so no text comes twice and the steps end.
+    All texts take each step together, as scoring few characters at a time costs far more than many.
     """
-    now, prefix, total, found = _Text(text, model), "", 0.0, []
-    if now.lost:
-        found.append((now.lost, "lost"))
-    while True:
-        chains, gains, every = [], {}, _candidates(now)
-        for c, pieces in every:
-            if pieces:
-                chains.append((c, pieces))
-            elif not c and chains:
-                gains = _gains(now, chains)
-                top, pieces = max((_best(x, gains) for _, x in chains), key=lambda b: b[0])
-                covered = sum(now.low[z] - now.low[a] for a, z, _, _ in pieces)
-                if top > CERTAIN and covered == now.low[-1]:
-                    break  # bytes of valid UTF-8 that explain everything: no other chain comes near
-        if not chains:
-            break
-        gains, cost = _gains(now, chains), COMPOSED if prefix else 0.0
-        step = [(total + cost + _best(pieces, gains)[0], prefix + c) for c, pieces in chains]
-        top, (_, pieces) = max(zip(step, chains, strict=True))
-        if prefix and top[0] <= total:
-            break
-        found += [x for x in step if not prefix or x[0] > total]
-        if top[0] <= total:
-            break
-        after = _Text(_replaced(now.text, _best(pieces, gains)[1]), model)
-        if after.cost[-1] <= now.cost[-1]:
-            break
-        total, prefix, now = top[0], f"{top[1]}+", after
-        if not now.low[-1]:
-            break
-    return found, now.text
+    every = active = [_Search(t) for t in _texts(texts, model)]
+    while active:
+        for s in active:
+            s.chains = [x for x in _utf8_chains(s.now) if x[1]]
+        some = [s for s in active if s.chains]
+        gains = _gains([(s.now, s.chains) for s in some], model)
+        done = {id(s) for s, g in zip(some, gains, strict=True) if s.explained(g)}
+        more = [[] if id(s) in done else [x for x in _other_chains(s.now) if x[1]] for s in active]
+        for s, chains in zip(active, more, strict=True):
+            s.chains += chains
+        some = [(s, chains) for s, chains in zip(active, more, strict=True) if s.chains]
+        gains = _gains([(s.now, chains) for s, chains in some], model)
+        after = [(s, text) for (s, _), g in zip(some, gains, strict=True) if (text := s.step(g)) is not None]
+        likelier = [(s, t) for (s, _), t in zip(after, _texts([text for _, text in after], model), strict=True) if t.cost[-1] > s.now.cost[-1]]
+        for s, t in likelier:
+            s.now = t
+        active = [s for s, t in likelier if t.low[-1]]
+    return [(s.found, s.now.text) for s in every]
 
 
 def restored(text: str, model: CharModel) -> tuple[str, float, str]:
     """(chain, gain, restored text) by a text's own evidence only; ('', 0, text) where no chain gains."""
-    found, best = evidence(text, model)
+    found, best = evidence([text], model)[0]
     gain, chain = max(found, default=(0.0, ""))
     return (chain, gain, best) if gain > 0 else ("", 0.0, text)
 
@@ -662,10 +767,10 @@ def restored(text: str, model: CharModel) -> tuple[str, float, str]:
 def undone(text: str, chain: str, model: CharModel) -> str:
     """The text with the chains undone one after the other."""
     for name in chain.split("+"):
-        t = _Text(text, model)
-        chains = [(c, pieces) for c, pieces in _candidates(t, name) if pieces]
+        t = _texts([text], model)[0]
+        chains = [(c, pieces) for c, pieces in (*_utf8_chains(t, name), *_other_chains(t, name)) if pieces]
         if chains:
-            text = _replaced(text, _best(chains[0][1], _gains(t, chains))[1])
+            text = _replaced(text, _best(chains[0][1], _gains([(t, chains)], model)[0])[1])
     return text
 
 
@@ -684,8 +789,7 @@ def _evidence_batches(model: Broadcast, fields: list[str]):
                     if texts[i]:
                         key = (sources[i], f)
                         clean[key] = clean.get(key, 0) + 1
-                for i in _suspects(texts, m):
-                    found, better = evidence(texts[i], m)
+                for i, (found, better) in _suspected(texts, m):
                     found, best = sorted((c, g) for g, c in found), max(found, default=(0.0, ""))
                     if found:
                         clean[(sources[i], f)] -= 1
@@ -699,6 +803,18 @@ def _evidence_batches(model: Broadcast, fields: list[str]):
     return run
 
 
+def _suspected(texts: list[str | None], m: CharModel) -> Iterator[tuple[int, tuple[list[tuple[float, str]], str]]]:
+    """The rows that may gain by a chain with their evidence, taken together up to a number of characters; a longer text is alone."""
+    group, size = [], 0
+    for i in _suspects(texts, m):
+        if group and size + len(texts[i]) > TOGETHER:
+            yield from zip(group, evidence([texts[k] for k in group], m), strict=True)
+            group, size = [], 0
+        group.append(i)
+        size += len(texts[i])
+    yield from zip(group, evidence([texts[k] for k in group], m), strict=True)
+
+
 _EVIDENCE = "id long, source string, field string, text string, best string, better string, chains array<string>, bins array<int>, n long"
 _TYPES = (pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.string(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.int64())
 
@@ -740,7 +856,9 @@ def _suspects(texts: list[str | None], m: CharModel, window: int = 4, low: float
         return []
     sizes = np.diff(offsets)
     row = np.repeat(np.arange(len(texts)), sizes)
-    score = np.where((points < 128) | _plain()[points], -3.0, m.scores(points, _before(points, offsets[:-1])))
+    score = np.full(len(points), -3.0, dtype=np.float32)
+    asked = np.flatnonzero((points > 127) & ~_plain()[points])
+    score[asked] = m.scores(points[asked], _before(points, offsets[:-1])[asked])
     few = np.repeat(_few_ideographs(points, offsets), sizes) & (_ideograph()[points] > 0)
     hit = (_odd_table()[points] | few) & (score < UNLIKELY)
     sums = np.cumsum(score)

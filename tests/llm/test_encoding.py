@@ -3,7 +3,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
-from reviewflow.llm.encoding import CharModel, _count_batches, garbled_fields, restored
+from reviewflow.llm.encoding import _SIGNS, TOGETHER, CharModel, _count_batches, _disguised, _evidence_batches, _signing, evidence, garbled_fields, restored
 
 TEXTS = [
     "这款台灯的光线很柔和，孩子写作业也不累眼睛。快递比预计早到，客服马上补发了配件。", "颜色选得刚好，老人上手没问题，安装花了几分钟。", "El pequeño cargador está bien hecho, además la guía es corta.",
@@ -84,3 +84,35 @@ def test_single_letters_are_found(spark, reviews, chain):
 def test_decoys_stay(spark, reviews):
     df = spark.createDataFrame(list(enumerate([*reviews, *CLEAN])), "id long, t string").selectExpr("id", "'s' source", "t")
     assert garbled_fields(df, "id", "source", ["t"]).count() == 0
+
+
+def _garbled() -> list[str]:
+    made = [t.encode(a, "ignore").decode(b, "replace") for t in TEXTS for a, b in (("utf-8", "latin-1"), ("gbk", "cp1252"), ("utf-8", "gb18030"), ("cp1252", "mac_roman"), ("cp932", "cp1251"))]
+    return [t for t in [*made, *(t.encode().decode("latin-1") for t in made[:8]), "lost ��� here", "Ｆｕｌｌ сafé Ã©", "é", "\n\nÃ©\n", f"{TEXTS[2]} " * 200 + "cafÃ©"] if not t.isascii()]
+
+
+def test_texts_are_searched_together(model, monkeypatch):
+    """Scoring costs by the call, so the calls must not grow with the texts: there were two or more for each text."""
+    import pyarrow as pa
+
+    calls = []
+    scores = CharModel.scores
+    monkeypatch.setattr(CharModel, "scores", lambda *a: calls.append(len(a[1])) or scores(*a))
+    text = TEXTS[2].encode().decode("latin-1")
+    batch = pa.RecordBatch.from_arrays([pa.array(range(100)), pa.array(["s"] * 100), pa.array([text] * 100)], names=["id", "source", "t"])
+    shared = type("Shared", (), {"value": model})
+    rows = [r for out in _evidence_batches(shared, ["t"])(iter([batch])) for r in out.to_pylist() if r["id"] is not None]
+    assert len(text) * 100 < TOGETHER and len(rows) == 100 and {r["better"] for r in rows} == {TEXTS[2]}
+    assert len(calls) < 20
+
+
+def test_evidence_is_that_of_each_text_alone(model):
+    texts = _garbled()
+    assert evidence(texts, model) == [evidence([t], model)[0] for t in texts]
+    assert evidence(texts[::-1], model) == evidence(texts, model)[::-1] and evidence([], model) == []
+
+
+def test_signs_have_a_character_that_asks_for_a_look():
+    others = "".join(chr(i) for i in range(0x20, 0x30000) if not 0xD800 <= i < 0xE000 and not _signing()[i])
+    assert not _SIGNS.search(others) and not _disguised().search(others)
+    assert all(any(_signing()[ord(c)] for c in p.search(t).group()) for t in _garbled() for p in (_SIGNS, _disguised()) if p.search(t))
